@@ -66,14 +66,13 @@ def words(c: Column | str) -> Column:
 def ngrams(tokens: Column | str, longest: int) -> Column:
     """All runs of 1..longest neighbouring tokens, each joined by a space."""
     arr = col(tokens)
-    runs = [
-        F.when(
-            F.size(arr) >= n,
-            F.transform(F.sequence(F.lit(1), F.size(arr) - F.lit(n - 1)), lambda i, n=n: F.array_join(F.slice(arr, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(1, longest + 1)
-    ]
-    return F.concat(*runs)
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(arr) - F.lit(n - 1))
+        joined = F.transform(starts, lambda i: F.array_join(F.slice(arr, i, n), " "))
+        return F.when(F.size(arr) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[runs(n) for n in range(1, longest + 1)])
 
 
 def sentence_case(c: Column | str) -> Column:
@@ -124,17 +123,10 @@ def pattern_hit(text: Column | str, pattern: str | None) -> Column:
     return F.coalesce(col(text).rlike("(?U)" + pattern), F.lit(False))
 
 
-def first_offset(text: Column | str, pattern: str, group: int | None = None) -> Column:
-    """0-based offset of the first match, NULL without one.
-
-    ``group`` names a leading group whose length is not part of the match (used where
-    a pattern spells out its word edge instead of using ``\\b``).
-    """
-    full = "(?U)" + pattern
-    at = F.nullif(F.regexp_instr(col(text), F.lit(full)), F.lit(0)) - 1
-    if group is None:
-        return at
-    return at + F.length(F.regexp_extract(col(text), full, group))
+def first_offset(text: Column | str, pattern: str) -> Column:
+    """0-based offset, in characters, of the first match; NULL without one."""
+    before = F.regexp_extract(col(text), "(?sU)^(.*?)(?:" + pattern + ")", 1)
+    return F.when(pattern_hit(text, pattern), F.length(before))
 
 
 def any_of(terms: Iterable[str], extra: str | None = None) -> str:
