@@ -24,13 +24,19 @@ def hashtag_terms(col_name: str = "hashtags", stop: Sequence[str] = STOP_TAGS) -
     return F.array_distinct(drop_stop_terms(F.filter(folded, lambda h: h != ""), stop))
 
 
-def text_terms(col_name: str = "description", longest: int = 3, stop: Sequence[str] = STOP_TAGS) -> Column:
-    """Runs of 1..longest words of the folded text, without generic words."""
-    tokens = drop_stop_terms(words(fold(F.coalesce(F.col(col_name), F.lit("")))), stop)
-    return F.array_distinct(ngrams(tokens, longest))
+def with_text_terms(
+    df: DataFrame, out: str, text: str = "description", longest: int = 3, stop: Sequence[str] = STOP_TAGS
+) -> DataFrame:
+    """Add the runs of 1..longest words of the folded text, without generic words.
+
+    The words get a column of their own first: the runs name them several times, and one
+    projection would fold the text once per mention.
+    """
+    tokens = drop_stop_terms(words(fold(F.coalesce(F.col(text), F.lit("")))), stop)
+    return df.withColumn("_words", tokens).withColumn(out, F.array_distinct(ngrams("_words", longest))).drop("_words")
 
 
-def dictionary_vote(df: DataFrame, key: str, terms: Column, dictionary: DataFrame) -> DataFrame:
+def dictionary_vote(df: DataFrame, key: str, terms: str, dictionary: DataFrame) -> DataFrame:
     """Category with the highest total weight over the different matched terms.
 
     A tie gives the first level 1 name, level 2 'Unknown' and ``tied``; weights are summed
@@ -38,7 +44,8 @@ def dictionary_vote(df: DataFrame, key: str, terms: Column, dictionary: DataFram
     """
     entries = dictionary.select("term", "category_l1", "category_l2", F.col("weight").cast("decimal(18,9)").alias("weight"))
     votes = (
-        df.select(key, F.explode(terms).alias("term"))
+        # explode_outer: plain explode adds a size filter that evaluates the terms twice
+        df.select(key, F.explode_outer(terms).alias("term"))
         .join(entries, "term")
         .groupBy(key, "category_l1", "category_l2")
         .agg(F.sum("weight").alias("score"))
@@ -107,22 +114,30 @@ def tag_category_cascade(
     by_link = product_link_category(posts, products, categories, key).select(
         key, F.col("category_l1").alias("l1"), F.col("category_l2").alias("l2"), F.lit("product_link").alias("source"), _score("product_link").alias("confidence")
     )
-    step = posts.join(by_link, key, "left")
-    for source, terms, entries in (
-        ("hashtag", hashtag_terms(), hashtag_dict),
-        ("keyword", text_terms(longest=longest), keyword_dict),
-    ):
-        vote = dictionary_vote(step.filter(F.col("l1").isNull()), key, terms, entries).select(
-            key, F.col("category_l1").alias("_l1"), F.col("category_l2").alias("_l2"), "tied"
+    base = settle(posts.join(by_link, key, "left"), "tier-0")
+
+    def votes(rows: DataFrame, source: str, entries: DataFrame, n: int) -> DataFrame:
+        return dictionary_vote(rows, key, "_terms", entries).select(
+            key,
+            F.col("category_l1").alias(f"_l1_{n}"),
+            F.col("category_l2").alias(f"_l2_{n}"),
+            F.lit(source).alias(f"_source_{n}"),
+            _score(source, F.col("tied")).alias(f"_confidence_{n}"),
         )
-        step = step.join(vote, key, "left").select(
+
+    no_link = base.filter(F.col("l1").isNull())
+    tier_1 = settle(votes(no_link.withColumn("_terms", hashtag_terms()), "hashtag", hashtag_dict, 1), "tier-1")
+    no_tag = no_link.join(tier_1.select(key), key, "left_anti")
+    tier_2 = votes(with_text_terms(no_tag, "_terms", longest=longest), "keyword", keyword_dict, 2)
+    step = (
+        base.join(tier_1, key, "left")
+        .join(tier_2, key, "left")
+        .select(
             *posts.columns,
-            F.coalesce("l1", "_l1").alias("l1"),
-            F.coalesce("l2", "_l2").alias("l2"),
-            F.coalesce("source", F.when(F.col("_l1").isNotNull(), F.lit(source))).alias("source"),
-            F.coalesce("confidence", F.when(F.col("_l1").isNotNull(), _score(source, F.col("tied")))).alias("confidence"),
+            *[F.coalesce(c, f"_{c}_1", f"_{c}_2").alias(c) for c in ("l1", "l2", "source", "confidence")],
         )
-    step = settle(step, "cascade")
+    )
+    step = settle(step, "tier-2")
     prior = creator_prior(step.select("channel_base_id", F.col("l1").alias("category_l1")), min_videos, min_share)
     done = step.join(prior, "channel_base_id", "left")
     use_prior = F.col("l1").isNull() & F.col("prior_l1").isNotNull()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bazaarlens.functions.columns import cascade, follower_tier, half_even, has_items, on_days, ratio, since, trailing
 from bazaarlens.operators.dedup import latest_by, limit_by, newest, require_keys
 from bazaarlens.operators.lookups import dominant_category, explode_products, heaviest, linked, with_category
+from bazaarlens.session import settle
 from bazaarlens.operators.ranking import HOT_ROWS, group_quantiles, hot_keys, percentile_of, rank_within
 
 CRAWL_ORDER = ("updated_at", "last_time_crawled_at", "view_count")
@@ -44,7 +45,13 @@ def creator_summary(
 ) -> DataFrame:
     """Per creator: videos, linked videos, views, and the two categories that bring most views."""
     base = require_keys(posts.filter(on_days("updated_at", day, days)), ["channel_id", "post_id_platform"])
-    base = latest_by(base, ["post_id_platform"], newest(*CRAWL_ORDER))
+    # read by two aggregations, so the collapse is paid once
+    base = settle(
+        latest_by(base, ["post_id_platform"], newest(*CRAWL_ORDER)).select(
+            "channel_id", "channel_name", "view_count", "list_product_base_id"
+        ),
+        "day-posts",
+    )
     views = F.coalesce("view_count", F.lit(0))
     is_linked = has_items("list_product_base_id")
     stats = base.groupBy("channel_id").agg(
@@ -221,7 +228,8 @@ def creator_percentiles(
         "list_product_base_id",
     ]
     recent = posts.filter(span)
-    dedup = latest_by(recent, ["post_base_id"], newest(*CRAWL_ORDER)).select(*fields)
+    # features, niches and counts read the collapsed posts: write them once, narrow
+    dedup = settle(latest_by(recent, ["post_base_id"], newest(*CRAWL_ORDER)).select(*fields), "posts")
     scoped = scope_windows(dedup, windows, as_of)
     followed = followed_channels(channels, country, min_followers, country_first=True)
     # raw rows per channel bound its rows after the collapse
@@ -231,6 +239,8 @@ def creator_percentiles(
     if niches is not None:
         niche = niche.filter(F.col("primary_niche").isin(list(niches)))
     feat = features.join(niche, ["window_days", "channel_base_id"]).withColumn("tier", follower_tier("followers"))
+    # one row per creator and window; the ranks read it three times
+    feat = settle(feat, "features")
     ranks = {"_view": "view_rate", "_like": "like_rate", "_comment": "comment_rate", "_share": "share_rate"}
     ranked = rank_within(
         feat, ["window_days", "channel_base_id"], ["window_days", "tier", "primary_niche"], ranks, "_size"

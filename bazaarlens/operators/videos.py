@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.columns import has_any_tag, has_items, has_tag, matched_tags, on_days, trailing
+from bazaarlens.functions.columns import blank_to, has_any_tag, has_items, has_tag, matched_tags, on_days, trailing
 from bazaarlens.operators.dedup import duplicate_rows, latest_by, limit_by, newest, require_keys
 from bazaarlens.operators.lookups import dominant_category, linked
-from bazaarlens.functions.columns import blank_to
+from bazaarlens.session import settle
 
 CRAWL_ORDER = ("updated_at", "last_time_crawled_at", "view_count")
 
@@ -22,8 +22,9 @@ def day_videos(posts: DataFrame, day: str, days: int = 1) -> DataFrame:
 
 
 def tagged_links(posts: DataFrame, day: str, days: int = 1) -> DataFrame:
-    """Videos of the day with both products and hashtags."""
-    return linked(day_videos(posts, day, days)).filter(has_items("hashtags"))
+    """Videos of the day with both products and hashtags, written once for their two readers."""
+    rows = linked(day_videos(posts, day, days)).filter(has_items("hashtags"))
+    return settle(rows.select("post_id_platform", "hashtags", "list_product_base_id"), "day-videos")
 
 
 def _hashtag_counts(videos: DataFrame, labels: DataFrame, keys: Sequence[str]) -> DataFrame:

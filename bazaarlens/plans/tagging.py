@@ -19,6 +19,7 @@ from bazaarlens.operators.dedup import latest_by, newest
 from bazaarlens.plans.creators import BRAND_COUNTS, CAT_COUNTS, TAGGED, brand_hashtag_counts, hashtag_counts
 from bazaarlens.plans.registry import div, query, r
 from bazaarlens.plans.views import categories, ctes, latest_sql, posts, products
+from bazaarlens.session import settle
 from bazaarlens.sources.tables import table
 
 # ---------------------------------------------------------------------------------------
@@ -449,9 +450,10 @@ VERSION, TAGGED_AT = "v2", "2026-06-01 00:00:00"
 
 
 def videos(spark, sf):
-    return latest_by(posts(spark, sf, tags=True), ["post_base_id"], newest(*CRAWL_ORDER)).select(
+    newest_rows = latest_by(posts(spark, sf, tags=True), ["post_base_id"], newest(*CRAWL_ORDER)).select(
         "post_base_id", "channel_base_id", "updated_at", "view_count", "hashtags", "description", "list_product_base_id"
     )
+    return settle(newest_rows, "videos")
 
 
 def dictionaries(spark, sf):
@@ -573,7 +575,7 @@ def tag14_cascade(spark, sf):
 @query("tag15_vote", ctes(*cascade_sql()) + "SELECT post_base_id, l1 AS category_l1, l2 AS category_l2, tied FROM t2")
 def tag15_vote(spark, sf):
     _, by_word = dictionaries(spark, sf)
-    return cas.dictionary_vote(videos(spark, sf), "post_base_id", cas.text_terms(longest=2), by_word)
+    return cas.dictionary_vote(cas.with_text_terms(videos(spark, sf), "terms", longest=2), "post_base_id", "terms", by_word)
 
 
 @query("tag16_prior", ctes(*cascade_sql()) + f"SELECT channel_base_id, prior_l1, {r('prior_share')} AS prior_share FROM prior")

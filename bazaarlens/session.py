@@ -18,6 +18,7 @@ def local_session(app: str = "bazaarlens", cpus: str = "*", shuffle: int = 8) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

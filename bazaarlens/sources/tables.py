@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def tune(spark: SparkSession) -> None:
-    """Let adaptive execution split a skewed join side even when that adds a shuffle."""
+    """Let adaptive execution split a skewed join side even when that adds a shuffle.
+
+    The second setting drops the call-site record that every Column would send to the JVM.
+    """
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

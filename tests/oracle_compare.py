@@ -21,6 +21,9 @@ KINDS = {
 }
 
 
+SPENT: dict[str, float] = {}
+
+
 def connect(sf: str):
     import duckdb
 
@@ -51,7 +54,9 @@ def compare(spark, con, name, fn, sql, sf) -> str | None:
     bad = {c: (types[c], theirs[c]) for c in cols if types[c] != theirs[c]}
     if bad:
         return f"types {bad}"
+    start = time.time()
     mine = sorted(tuple(cell(v) for v in row) for row in got.collect())
+    SPENT[name] = time.time() - start
     want = sorted(
         tuple(cell(v) for v in row) for row in con.sql(f"SELECT {', '.join(chr(34) + c + chr(34) for c in cols)} FROM ({sql})").fetchall()
     )
@@ -91,7 +96,7 @@ def main(argv) -> int:
         except Exception as e:  # noqa: BLE001
             bad += 1
             note = "ERR " + str(e)[:1500]
-        print(f"{time.time() - start:6.2f}s {n}: {note}", flush=True)
+        print(f"{time.time() - start:6.2f}s (Spark {SPENT.get(n, 0):.2f}s) {n}: {note}", flush=True)
     print(f"{len(names)} queries, {bad} bad")
     return bad
 
