@@ -112,7 +112,7 @@ def tag_category_cascade(
     tiers is written once to the work folder, because the prior reads it again.
     """
     by_link = product_link_category(posts, products, categories, key).select(
-        key, F.col("category_l1").alias("l1"), F.col("category_l2").alias("l2"), F.lit("product_link").alias("source"), _score("product_link").alias("confidence")
+        key, F.col("category_l1").alias("l1"), F.coalesce("category_l2", F.lit("Unknown")).alias("l2"), F.lit("product_link").alias("source"), _score("product_link").alias("confidence")
     )
     base = settle(posts.join(by_link, key, "left"), "tier-0")
 
