@@ -79,8 +79,9 @@ def split_documents(texts: DataFrame, value: str = "value") -> DataFrame:
     """
     text = F.trim(F.col(value))
     closed = F.concat(F.when(text.startswith("{"), text).otherwise(F.concat(F.lit("{"), text)), F.lit("}"))
-    # a truncated document runs straight into the envelope of the next one
-    parts = F.split(closed, r'(?<=.)(?=\{"code")')
+    # documents may also stand on lines of their own; a truncated document runs straight into
+    # the envelope of the next one
+    parts = F.split(closed, r'(?<=\})\s+(?=\{)|(?<=.)(?=\{"code")')
     return texts.filter(text != "").withColumn("_parts", parts).select(
         *[c for c in texts.columns if c != value], F.posexplode("_parts").alias("_part", "doc")
     )
