@@ -100,8 +100,8 @@ def nth(c: Column | str, n: int, default: Column | None = None) -> Column:
     return item if default is None else F.coalesce(item, default)
 
 
-def local_time(ms: Column | str, zone: str = "Asia/Ho_Chi_Minh") -> Column:
-    """Epoch milliseconds as wall-clock text in ``zone``, whatever the session zone is."""
+def local_time(ms: Column | str, zone: str = "+07:00") -> Column:
+    """Epoch milliseconds as wall-clock text in ``zone`` (UTC+7), whatever the session zone is."""
     utc = F.convert_timezone(F.current_timezone(), F.lit(zone), F.timestamp_millis(col(ms)).cast("timestamp_ntz"))
     return F.date_format(utc, "yyyy-MM-dd HH:mm:ss")
 

@@ -251,7 +251,7 @@ T(("orders", "ag13_concat"), "SELECT o_custkey, string_agg(lower(o_orderpriority
 )
 T(("documents", "ag14_value_counts"), "SELECT lang, count(*) AS n FROM documents GROUP BY 1")(lambda d: d.groupBy("lang").agg(F.count("*").alias("n")))
 T(("orders", "ag15_pivot"), "SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'P') AS p, count(*) FILTER (o_orderstatus = 'X') AS x FROM orders GROUP BY 1")(
-    lambda d: d.groupBy("o_custkey").pivot("o_orderstatus", ["F", "P", "X"]).agg(F.count("*")).select(
+    lambda d: d.groupBy("o_custkey").pivot("o_orderstatus", ["F", "P", "X"]).agg(F.count(F.lit(1))).select(
         "o_custkey", *[F.coalesce(v, F.lit(0)).alias(v.lower()) for v in ("F", "P", "X")]
     )
 )
@@ -324,6 +324,25 @@ T(("lineitem", "so3_nlargest"), "SELECT l_suppkey, l_partkey, n FROM (SELECT l_s
 P("so4_nth", "SELECT post_base_id, updated_at, coalesce(list_product_base_id[2], -1) AS second FROM posts")(
     lambda d: d.select("post_base_id", "updated_at", c.nth("list_product_base_id", 2, F.lit(-1).cast("bigint")).alias("second"))
 )
+
+
+@query(
+    "so5_hierarchy",
+    """WITH n AS (SELECT p_type AS category, p_brand AS brand, p_name AS hashtag, count(*) AS count_unique_video FROM part GROUP BY ALL),
+       cr AS (SELECT category, dense_rank() OVER (ORDER BY sum(count_unique_video) DESC)::INT AS cat_rk FROM n GROUP BY 1),
+       br AS (SELECT category, brand, row_number() OVER (PARTITION BY category ORDER BY sum(count_unique_video) DESC, brand)::INT AS brand_rk FROM n GROUP BY 1, 2),
+       hr AS (SELECT *, row_number() OVER (PARTITION BY category, brand ORDER BY count_unique_video DESC, hashtag)::INT AS hashtag_rk FROM n)
+       SELECT * FROM hr JOIN br USING (category, brand) JOIN cr USING (category) WHERE cat_rk <= 3 AND brand_rk <= 4 AND hashtag_rk <= 5""",
+)
+def so5_hierarchy(spark, sf):
+    from bazaarlens.operators.videos import leaderboard
+
+    n = table(spark, sf, "part").groupBy(F.col("p_type").alias("category"), F.col("p_brand").alias("brand"), F.col("p_name").alias("hashtag")).agg(
+        F.count("*").alias("count_unique_video")
+    )
+    return leaderboard(n, (3, 4, 5))
+
+
 T(("embeddings", "so6_topk"), "SELECT vec_id, list_sort(list_transform(range(64), lambda i: {'m': -embedding[i + 1], 'i': i}))[1].i::INT AS best FROM embeddings")(
     lambda d: d.select("vec_id", F.array_sort(F.transform("embedding", lambda x, i: F.struct((-x).alias("m"), i.alias("i"))))[0]["i"].cast("int").alias("best"))
 )
