@@ -37,6 +37,22 @@ def search_text(source: str = "both") -> Column:
     return F.concat(_low("hashtags"), F.lit(" "), _low("description"))
 
 
+# Columns that hold the search texts while rules run: folded once, read by every rule.
+_TEXTS = {"hashtags": "_t_hashtags", "description": "_t_description", "both": "_t_both"}
+
+
+def _with_texts(df: DataFrame) -> DataFrame:
+    return df if "_t_both" in df.columns else df.withColumns({name: search_text(s) for s, name in _TEXTS.items()})
+
+
+def _without_texts(df: DataFrame, before: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in _TEXTS.values() if c not in before.columns])
+
+
+def _text(source: str) -> Column:
+    return F.col(_TEXTS.get(source, "_t_both"))
+
+
 def _labels(pairs: Sequence[tuple[str, Column]]) -> Column:
     """Array of the labels whose condition holds, in rule order."""
     if not pairs:
@@ -45,46 +61,47 @@ def _labels(pairs: Sequence[tuple[str, Column]]) -> Column:
 
 
 def brand_hits(brands: Sequence[Brand]) -> Column:
-    text = search_text("both")
-    return _labels([(b.display, pattern_hit(text, b.pattern)) for b in brands])
+    return _labels([(b.display, pattern_hit(_text("both"), b.pattern)) for b in brands])
 
 
 def tag_brands(df: DataFrame, brands: Sequence[Brand]) -> DataFrame:
     """brand_scope and brand_detail in rule order."""
-    hits = df.withColumn("_hits", brand_hits(brands))
+    hits = _with_texts(df).withColumn("_hits", brand_hits(brands))
     n = F.size("_hits")
-    return (
+    out = (
         hits.withColumn("brand_scope", cascade([(n == 0, "No Brand"), (n == 1, "Single-brand")], "Multi-brand"))
         .withColumn("brand_detail", F.when(n == 0, "No Brand").otherwise(F.array_join("_hits", SEP)))
         .drop("_hits")
     )
+    return _without_texts(out, df)
 
 
 def multi_label(rules: Sequence[Rule]) -> Column:
-    return F.array_join(_labels([(r.label, pattern_hit(search_text(r.source), r.pattern)) for r in rules]), SEP)
+    return F.array_join(_labels([(r.label, pattern_hit(_text(r.source), r.pattern)) for r in rules]), SEP)
 
 
 def tag_multi(df: DataFrame, rules: Sequence[Rule], out: str) -> DataFrame:
     """All matching labels, joined; '' without a match."""
-    return df.withColumn(out, multi_label(rules))
+    return _without_texts(_with_texts(df).withColumn(out, multi_label(rules)), df)
 
 
 def tag_fallback(df: DataFrame, out: str, rule: Rule) -> DataFrame:
     """A general label for rows that got no specific one."""
-    generic = pattern_hit(search_text(rule.source), rule.pattern)
+    generic = pattern_hit(_text(rule.source), rule.pattern)
     empty = F.coalesce(F.col(out), F.lit("")) == ""
-    return df.withColumn(out, F.when(empty & generic, F.lit(rule.label)).otherwise(F.col(out)))
+    tagged = _with_texts(df).withColumn(out, F.when(empty & generic, F.lit(rule.label)).otherwise(F.col(out)))
+    return _without_texts(tagged, df)
 
 
 def tag_flag(df: DataFrame, rules: Sequence[Rule], out: str, default: str = "") -> DataFrame:
     """The last matching rule wins."""
-    steps = [(pattern_hit(search_text(r.source), r.pattern), r.label) for r in reversed(list(rules))]
-    return df.withColumn(out, cascade(steps, default))
+    steps = [(pattern_hit(_text(r.source), r.pattern), r.label) for r in reversed(list(rules))]
+    return _without_texts(_with_texts(df).withColumn(out, cascade(steps, default)), df)
 
 
 def tag_earliest(df: DataFrame, rules: Sequence[Rule], out: str) -> DataFrame:
     """Label whose keyword comes first; hashtags stand before the description."""
-    tags, desc = _low("hashtags"), _low("description")
+    tags, desc = _text("hashtags"), _text("description")
     found = []
     for seq, rule in enumerate(rules):
         places = []
@@ -99,7 +116,7 @@ def tag_earliest(df: DataFrame, rules: Sequence[Rule], out: str) -> DataFrame:
                 F.struct(at.alias("pos"), F.lit(rule.priority).alias("pri"), F.lit(seq).alias("seq"), F.lit(rule.label).alias("label"))
             )
     best = F.array_min(F.filter(F.array(*found), lambda x: x["pos"].isNotNull()))
-    return df.withColumn(out, F.coalesce(best["label"], F.lit("")))
+    return _without_texts(_with_texts(df).withColumn(out, F.coalesce(best["label"], F.lit(""))), df)
 
 
 def tag_videos(
@@ -112,17 +129,19 @@ def tag_videos(
     content: Sequence[Rule],
 ) -> DataFrame:
     """All video tags in the fixed column order."""
+    plain, df = df, _with_texts(df)
     df = tag_multi(tag_brands(df, brands), concerns, "skin_concern")
     if fallback is not None:
         df = tag_fallback(df, "skin_concern", fallback)
     df = tag_multi(df, types, "product_type")
-    return tag_earliest(tag_flag(df, partnership, "partnership_flag"), content, "content_type")
+    df = tag_earliest(tag_flag(df, partnership, "partnership_flag"), content, "content_type")
+    return _without_texts(df, plain)
 
 
 def tag_by_category(df: DataFrame, rules: Mapping[str, Sequence[Rule]], category: str, out: str) -> DataFrame:
     """Multi-label rules that belong to a category; other categories get ''."""
     steps = [(F.col(category) == name, multi_label(rs)) for name, rs in rules.items()]
-    return df.withColumn(out, cascade(steps, ""))
+    return _without_texts(_with_texts(df).withColumn(out, cascade(steps, "")), df)
 
 
 def tag_band(df: DataFrame, value: str, bands: Sequence[tuple[str, float, float | None]], out: str) -> DataFrame:
@@ -192,7 +211,9 @@ def tag_platform(df: DataFrame, rules: Sequence[Rule], out: str = "platform_addo
 def brand_loyalty(creators: DataFrame, videos: DataFrame, brands: Sequence[Brand]) -> DataFrame:
     """Number of brands over a creator's videos; detail by most videos, then name."""
     counts = (
-        videos.select("channel_id", F.explode(brand_hits(brands)).alias("brand"))
+        _with_texts(videos)
+        .withColumn("_hits", brand_hits(brands))
+        .select("channel_id", F.explode("_hits").alias("brand"))
         .groupBy("channel_id", "brand")
         .agg(F.count("*").alias("n"))
     )

@@ -15,6 +15,8 @@ def local_session(app: str = "bazaarlens", cpus: str = "*", shuffle: int = 8) ->
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.adaptive.enabled", "true")
+        # small test tables would otherwise end in one task per stage
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
