@@ -11,9 +11,14 @@ from bazaarlens.session import fresh_path
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet table of a folder as a stream; the schema comes from the table itself."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet*").parquet(folder)
+    """A Parquet table as a stream, whether it is a folder of files or a single file."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return reader.parquet(path)
+    # a file stream watches folders
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def run_to_end(stream: DataFrame, name: str) -> DataFrame:

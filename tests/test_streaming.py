@@ -31,3 +31,8 @@ def test_batch_function(spark, tmp_path):
     seen = []
     jobs.upsert_batches(deliveries(spark, tmp_path, [("k", "2026-01-01 00:00:00", "a", 1.0)], 1), lambda df, i: seen.append(df.count()), "b")
     assert sum(seen) == 1
+
+
+def test_table_of_many_files(spark, tmp_path):
+    spark.range(100).repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    assert jobs.run_to_end(jobs.stream_table(spark, str(tmp_path), "events"), "many").count() == 100
