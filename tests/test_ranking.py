@@ -56,3 +56,23 @@ def test_numbered(spark):
     df = spark.range(5000).withColumnRenamed("id", "k")
     got = ranking.numbered(df, ["k"], "p", 1).toPandas()
     assert sorted(got["p"]) == list(range(1, 5001)) and set(got["p_of"]) == {5000}
+
+
+def test_hot_creators_give_the_same_percentiles(spark):
+    from bazaarlens.operators.creators import creator_percentiles
+    from bazaarlens.plans.views import AS_OF, WINDOWS, categories, channels, posts, products
+
+    sf = "/root/testdata/sf0.001"
+
+    def run(hot_rows):
+        # every third post moves to one channel
+        hot = F.when(F.col("post_base_id") % 3 == 0, F.lit(2)).otherwise(F.col("channel_base_id"))
+        rows = posts(spark, sf).withColumn("channel_base_id", hot).withColumn("channel_name", F.lit("x"))
+        out = creator_percentiles(
+            rows, channels(spark, sf), products(spark, sf), categories(spark, sf), AS_OF, WINDOWS, None, None, hot_rows=hot_rows
+        )
+        numbers = [F.bround(c, 9).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes]
+        return sorted(out.select(*numbers).collect())
+
+    spread, small = run(8), run(10**6)
+    assert spread == small and len(small) > 50
