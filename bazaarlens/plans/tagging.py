@@ -389,11 +389,11 @@ TARGETS_SQL = "('AFRICA', 'ASIA', 'EUROPE')"
 @query(
     "pur1_purity",
     ctes(*TAGGED, *CAT_COUNTS, ("p", _purity("cat_counts", "")))
-    + f"SELECT category, hashtag, count_unique_video, {r('purity')} AS purity, {r('disc_score', 4)} AS disc_score FROM p",
+    # not rounded: both sides do the same double operations, and rounding would split near-ties
+    + "SELECT category, hashtag, count_unique_video, purity, disc_score FROM p",
 )
 def pur1_purity(spark, sf):
-    df = pur.add_purity(hashtag_counts(spark, sf))
-    return df.withColumns({"purity": F.bround("purity", 6), "disc_score": F.bround("disc_score", 4)})
+    return pur.add_purity(hashtag_counts(spark, sf))
 
 
 def _dict_sql(source: str, keys: str, min_p: float, min_n: int, top: int) -> str:
