@@ -145,7 +145,7 @@ def spread_quantiles(
         F.max(F.when((F.col("_first") <= hi) & (hi <= F.col("_last")), F.col("_v"))).alias("_hi"),
     )
     part = F.col("_place") - F.floor("_place")
-    value = (F.lit(1.0) - part) * F.col("_lo") + part * F.col("_hi")
+    value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part
     picked = ends.withColumn("_q", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(value))
     return picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_m") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
@@ -173,7 +173,7 @@ def _listed_quantiles(df: DataFrame, keys: Sequence[str], metrics: Mapping[str,
         low = F.get(values, (skip + F.floor(place) - 1).cast("int"))
         high = F.get(values, (skip + F.ceil(place) - 1).cast("int"))
         part = place - F.floor(place)
-        value = F.when(low == high, low).otherwise((F.lit(1.0) - part) * low + part * high)
+        value = F.when(low == high, low).otherwise(low + (high - low) * part)
         return F.when(k > 0, value).alias(n)
 
     return counted.select(*keys, *[pick(n, q) for n, (_, q) in metrics.items()])

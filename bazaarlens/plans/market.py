@@ -102,13 +102,13 @@ def combos(spark, sf):
 @query(
     "mkt3_combo",
     ctes(COMBOS, ("s", "SELECT l_partkey % 70 AS combo_id, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS revenue FROM lineitem GROUP BY 1"))
-    + f"SELECT combo_id, partner_category, {r('revenue * coalesce(coefficient_in_combo, 1.0::DOUBLE)', 2)} AS allocated FROM s LEFT JOIN combos USING (combo_id)",
+    + "SELECT combo_id, partner_category, revenue * coalesce(coefficient_in_combo, 1.0::DOUBLE) AS allocated FROM s LEFT JOIN combos USING (combo_id)",
 )
 def mkt3_combo(spark, sf):
     s = table(spark, sf, "lineitem").groupBy((F.col("l_partkey") % 70).alias("combo_id")).agg(
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue")
     )
-    return market.allocate_combo(s, combos(spark, sf)).select("combo_id", "partner_category", F.bround("allocated", 2).alias("allocated"))
+    return market.allocate_combo(s, combos(spark, sf)).select("combo_id", "partner_category", "allocated")
 
 
 @query(
