@@ -26,7 +26,7 @@ def text_digest(text: Column) -> Column:
 
 def _first(doc_id: Column, length: Column) -> Column:
     """Largest for the row that stays: most code points, then smallest id, NULL ids last."""
-    return F.struct(length.alias("length"), doc_id.isNotNull().alias("known"), F.negate(doc_id).alias("back"))
+    return F.struct(length.alias("length"), doc_id.isNotNull().alias("known"), F.bitwise_not(doc_id).alias("back"))
 
 
 def duplicates(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
@@ -60,7 +60,7 @@ def duplicates(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     hot = narrow.join(F.broadcast(verified), "text_sha256")
     rest = narrow.join(F.broadcast(verified.select("text_sha256")), "text_sha256", "left_anti")
     cold = rest.join(rest.groupBy("text_sha256").agg(*best), "text_sha256")
-    keep_id = F.negate(F.col("best.back"))
+    keep_id = F.bitwise_not(F.col("best.back"))
     return hot.unionByName(cold).select(
         "doc_id",
         keep_id.alias("keep_id"),

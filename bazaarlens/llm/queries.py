@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.llm.exact_dedup import duplicates
+from bazaarlens.llm.packing import pack
 from bazaarlens.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
+@query("op1_packing")
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query(
     "op10_exact_dedup",
     r"""
