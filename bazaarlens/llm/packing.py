@@ -214,7 +214,10 @@ def sequences(pieces: DataFrame, max_tokens: int = MAX_TOKENS, pad_id: int = 0)
         frame = frame.sort_by("offset")
         ids = np.frombuffer(b"".join(frame["ids"].to_pylist()), "<u4").astype(np.int32)
         padded = ids if len(ids) & (len(ids) - 1) == 0 else np.pad(ids, (0, max_tokens - len(ids)), constant_values=pad_id)
-        return pa.table({"sequence_id": [key[0].as_py()], "used": [len(ids)], "input_ids": [padded.tolist()]})
+        return pa.table(
+            [pa.array([key[0].as_py()]), pa.array([len(ids)], pa.int32()), pa.array([padded], pa.list_(pa.int32()))],
+            names=["sequence_id", "used", "input_ids"],
+        )
 
     return pieces.select("sequence_id", "offset", "ids").groupBy("sequence_id").applyInArrow(
         join, "sequence_id long, used int, input_ids array<int>"

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.llm.exact_dedup import duplicates
 from bazaarlens.llm.packing import pack
+from bazaarlens.llm.prefix_bpe import encode_documents
+from bazaarlens.llm.token_files import read_token_files, write_token_files
+from bazaarlens.session import fresh_path
 from bazaarlens.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -15,6 +18,18 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op5_prefix_bpe")
+def op5_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_documents(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return read_token_files(write_token_files(table(spark, folder, "documents"), path, fresh_path(spark, "token-files")))
+
+
 @query(
     "op10_exact_dedup",
     r"""

@@ -21,7 +21,7 @@ STORE_CHARS = 48
 SEGMENT_CHARS = 1 << 20
 
 # what a tokenizer's pattern may take for a blank beside [\x20\x09-\x0D], and the separators Python adds
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _CUT = re.compile(r"(?<=[^\x20\x09-\x0D]) (?=[^\x20\x09-\x0D])")
 # with the blank before a word, as byte-level patterns take it; or words alone where blanks are dropped
 CHUNKS = {
@@ -32,6 +32,11 @@ CHUNKS = {
 _LOADED: dict[tuple[str, str], WordStore] = {}
 
 
+def odd(text: str) -> bool:
+    """Must the text be encoded whole?"""
+    return _ODD.search(text) is not None
+
+
 def segments(text: str) -> Iterator[str]:
     """The text in pieces of bounded length, cut before a single blank between words where there is one."""
     at = 0
@@ -73,7 +78,7 @@ class WordStore:
         return b"".join(map(known.__getitem__, chunks))
 
     def encode(self, text: str) -> np.ndarray:
-        if _ODD.search(text):
+        if odd(text):
             return np.frombuffer(self._library([text])[0], self.dtype)
         return np.frombuffer(b"".join(map(self._segment, segments(text))), self.dtype)
 
