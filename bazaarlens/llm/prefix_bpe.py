@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from bazaarlens.llm.tokens import CHUNKS, STORE_CHARS, STORE_ENTRIES, odd, segments
+from bazaarlens.llm.tokens import STORE_ENTRIES, ChunkStore, odd
 
 #: Checked pairs of tokens that a worker keeps.
 PAIR_ENTRIES = 400_000
@@ -64,8 +64,9 @@ class PrefixEncoder:
                 self.start.setdefault(token[:end], -1)
         self.match = regex.compile(pattern)
         self._pairs: dict[int, bool] = {}
-        self._known: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        # texts by their chunks between blanks, and chunks by their matches
+        self._matches: dict[str, bytes] = {}
+        self._texts = ChunkStore("byte", lambda chunks: map(self._chunk, chunks), STORE_ENTRIES // 2)
 
     def _fit(self, one: int, two: int) -> bool:
         """Do ``one`` and ``two`` stay apart when their bytes are merged together?"""
@@ -125,33 +126,21 @@ class PrefixEncoder:
         return self.tokens(last)
 
     def _chunk(self, chunk: str) -> bytes:
-        out = []
+        known, out = self._matches, []
         for match in self.match.findall(chunk):
-            ids = self._known.get(match)
+            ids = known.get(match)
             if ids is None:
                 ids = np.array(self.encode_match(match.encode()), "<u4").tobytes()
-                if len(match) <= STORE_CHARS:
-                    if len(self._known) >= STORE_ENTRIES:
-                        self._known.clear()
-                    self._known[match] = ids
+                if len(match) < 16:
+                    if len(known) >= STORE_ENTRIES // 4:
+                        known.clear()
+                    known[match] = ids
             out.append(ids)
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, unsigned 32-bit, little-endian."""
-        if odd(text):
-            return self._chunk(text)
-        known, out = self._chunks, []
-        for part in segments(text):
-            chunks = CHUNKS["byte"].findall(part)
-            new = set(chunks).difference(known)
-            if new and len(known) + len(new) > STORE_ENTRIES // 2:
-                known.clear()
-                new = set(chunks)
-            ids = {c: self._chunk(c) for c in new}
-            known.update((c, i) for c, i in ids.items() if len(c) <= STORE_CHARS)
-            out.extend(known[c] if c in known else ids[c] for c in chunks)
-        return b"".join(out)
+        return self._chunk(text) if odd(text) else self._texts.encode(text)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -2,19 +2,19 @@
 
 Both vocabularies used here never join characters across ASCII blanks, so the ids of a text are those of its
 chunks put together. A worker keeps the ids of the chunks it has seen; only new chunks go through the library.
-The store is emptied when it is full, so memory is bounded. Texts with other blanks or control characters
-skip the store and go through the library whole.
+The store has two generations of bounded size, so frequent chunks stay and memory is bounded. Texts with other
+blanks or control characters skip the store and go through the library whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
-#: Entries of a worker's store, about 250 bytes each.
-STORE_ENTRIES = 500_000
+#: Entries of each of the two generations of a worker's store, about 250 bytes each.
+STORE_ENTRIES = 600_000
 #: Longer chunks are encoded each time.
 STORE_CHARS = 48
 #: Characters that are looked up at once; longer texts are cut at a blank between words.
@@ -23,6 +23,10 @@ SEGMENT_CHARS = 1 << 20
 # what a tokenizer's pattern may take for a blank beside [\x20\x09-\x0D], and the separators Python adds
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _CUT = re.compile(r"(?<=[^\x20\x09-\x0D]) (?=[^\x20\x09-\x0D])")
+# letters from here on may change by their neighbours when normalised or put into lower case
+_HIGH = re.compile("[\u0250-\U0010ffff]")
+#: Marks that end a word; no token joins them to a letter before them.
+MARKS = ".,;:!?"
 # with the blank before a word, as byte-level patterns take it; or words alone where blanks are dropped
 CHUNKS = {
     "byte": re.compile(r" ?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+(?![^\x20\x09-\x0D])|[\x20\x09-\x0D]+"),
@@ -49,6 +53,52 @@ def segments(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+class ChunkStore:
+    """Encoded chunks by text. ``learn`` encodes a list of new ones."""
+
+    def __init__(self, kind: str, learn: Callable[[list[str]], Iterable[bytes]], entries: int = STORE_ENTRIES):
+        self.find, self.learn, self.entries = CHUNKS[kind].findall, learn, entries
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self._segment, segments(text)))
+
+    def _segment(self, text: str) -> bytes:
+        if len(self.known) > self.entries:
+            self.known, self.old = {}, self.known
+        chunks = self.find(text)
+        new = set(chunks).difference(self.known)
+        if not new:
+            return b"".join(map(self.known.__getitem__, chunks))
+        long = self._add(new)
+        out = b"".join(map(self.known.__getitem__, chunks))
+        for c in long:
+            del self.known[c]
+        return out
+
+    def _add(self, new: set[str]) -> list[str]:
+        """Put new chunks into the store; returns those too long to stay."""
+        known, old = self.known, self.old
+        fresh, parts = [], []
+        for c in new:
+            if c in old:
+                known[c] = old[c]
+                continue
+            word = c.rstrip(MARKS)
+            if len(word) < len(c) and word and word[-1] < "\u0250" and word[-1].isalpha():
+                parts.append((c, word, c[len(word) :]))
+            else:
+                fresh.append(c)
+        more = {x for _, word, marks in parts for x in (word, marks) if x not in known}.difference(fresh)
+        known.update((x, old[x]) for x in more if x in old)
+        fresh += [x for x in more if x not in known]
+        known.update(zip(fresh, self.learn(fresh), strict=True))
+        for c, word, marks in parts:
+            known[c] = known[word] + known[marks]
+        return [c for c in (*new, *more) if len(c) > STORE_CHARS]
+
+
 class WordStore:
     """Ids as little-endian unsigned 16-bit integers (32 where the vocabulary is larger)."""
 
@@ -57,30 +107,22 @@ class WordStore:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = CHUNKS[kind].findall
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.lower = kind == "word"
+        self.chunks = ChunkStore(kind, self._library)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
-    def _segment(self, text: str) -> bytes:
-        chunks = self.find(text)
-        known = self.known
-        if missing := list(set(chunks).difference(known)):
-            if len(known) + len(missing) > STORE_ENTRIES:
-                known.clear()
-                missing = list(set(chunks))
-            ids = dict(zip(missing, self._library(missing), strict=True))
-            known.update((k, v) for k, v in ids.items() if len(k) <= STORE_CHARS)
-            return b"".join([known[c] if c in known else ids[c] for c in chunks])
-        return b"".join(map(known.__getitem__, chunks))
-
     def encode(self, text: str) -> np.ndarray:
         if odd(text):
-            return np.frombuffer(self._library([text])[0], self.dtype)
-        return np.frombuffer(b"".join(map(self._segment, segments(text))), self.dtype)
+            ids = self._library([text])[0]
+        else:
+            if self.lower and not _HIGH.search(text):
+                text = text.lower()  # as the library will, with fewer chunks to keep
+            ids = self.chunks.encode(text)
+        return np.frombuffer(ids, self.dtype)
 
 
 def store(path: str, kind: str) -> WordStore:
