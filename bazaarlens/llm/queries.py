@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.llm.exact_dedup import duplicates
+from bazaarlens.llm.language_crf import predict_languages, train
 from bazaarlens.llm.packing import pack
 from bazaarlens.llm.prefix_bpe import encode_documents
+from bazaarlens.llm.simhash import near_duplicates
 from bazaarlens.llm.token_files import read_token_files, write_token_files
 from bazaarlens.session import fresh_path
 from bazaarlens.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
@@ -24,12 +26,23 @@ def op5_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return read_token_files(write_token_files(table(spark, folder, "documents"), path, fresh_path(spark, "token-files")))
 
 
+@query("op9_language_crf")
+def op9_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return predict_languages(docs, train(docs))
+
+
 @query(
     "op10_exact_dedup",
     r"""
