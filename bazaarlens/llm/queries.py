@@ -5,12 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarlens.llm.block_neighbours import nearest
 from bazaarlens.llm.exact_dedup import duplicates
 from bazaarlens.llm.language_crf import predict_languages, train
 from bazaarlens.llm.packing import pack
 from bazaarlens.llm.prefix_bpe import encode_documents
 from bazaarlens.llm.simhash import near_duplicates
 from bazaarlens.llm.token_files import read_token_files, write_token_files
+from bazaarlens.llm.warc import read_archives, write_archives
 from bazaarlens.session import fresh_path
 from bazaarlens.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
@@ -20,12 +22,53 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query(
+    "op3_block_neighbours",
+    """
+    WITH v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+          AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+    ), pairs AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        WHERE q.vec_id % 20 = 0
+    ), ranked AS (
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM pairs
+    )
+    SELECT * FROM ranked WHERE rank <= 20
+    """,
+)
+def op3_block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"))
+
+
 @query("op5_prefix_bpe")
 def op5_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query(
+    "op6_warc",
+    """
+    WITH p AS (
+        SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+    ), g AS (
+        SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+    FROM g
+    """,
+)
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = read_archives(write_archives(table(spark, folder, "pages"), fresh_path(spark, "archives")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
