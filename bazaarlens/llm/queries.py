@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaarlens.llm.block_neighbours import nearest
 from bazaarlens.llm.exact_dedup import duplicates
 from bazaarlens.llm.language_crf import predict_languages, train
+from bazaarlens.llm.licence_rules import check_sql, licences
 from bazaarlens.llm.packing import pack
+from bazaarlens.llm.preference import preferences, swapped_answers
 from bazaarlens.llm.prefix_bpe import encode_documents
 from bazaarlens.llm.simhash import near_duplicates
 from bazaarlens.llm.token_files import read_token_files, write_token_files
@@ -22,6 +24,11 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op2_licence_rules", check_sql())
+def op2_licence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return licences(table(spark, folder, "documents"))
+
+
 @query(
     "op3_block_neighbours",
     """
@@ -44,6 +51,43 @@ def op3_block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"))
 
 
+@query(
+    "op4_preference",
+    r"""
+    WITH last AS (
+        SELECT conv_id, max(turn) AS t, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+    ), swap AS (
+        SELECT a.conv_id, a.t, b.answer AS other FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)
+    ), c AS (
+        SELECT conv_id, turn, role, text, CASE WHEN role = 'assistant' AND turn = t THEN other ELSE text END AS bad
+        FROM conversations LEFT JOIN swap USING (conv_id)
+    ), f AS (
+        SELECT *, coalesce(turn < min(CASE WHEN bad IS DISTINCT FROM text THEN turn END) OVER (PARTITION BY conv_id),
+                           min(CASE WHEN bad IS DISTINCT FROM text THEN turn END) OVER (PARTITION BY conv_id) IS NULL) AS same
+        FROM c
+    ), t AS (
+        SELECT conv_id, turn, role, text, 'prompt' AS part FROM f WHERE same
+        UNION ALL SELECT conv_id, turn, role, text, 'chosen' FROM f WHERE NOT same
+        UNION ALL SELECT conv_id, turn, role, bad, 'rejected' FROM f WHERE NOT same
+    ), r AS (
+        SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered FROM t
+    ), s AS (
+        SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, part ORDER BY turn) AS upto,
+               coalesce(sum(CASE WHEN part = 'prompt' THEN length(rendered) END) OVER (PARTITION BY conv_id), 0) AS prompt
+        FROM r
+    ), p AS (
+        SELECT *, (upto + CASE WHEN part = 'prompt' THEN 0 ELSE prompt END)::BIGINT AS char_end FROM s
+    )
+    SELECT conv_id AS pair_id, part, turn, 1::INTEGER AS copy, role, rendered, char_end - length(rendered) AS char_start,
+           char_end, part <> 'prompt' AND role = 'assistant' AS trained
+    FROM p
+    """,
+)
+def op4_preference(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    return preferences(turns.withColumnRenamed("conv_id", "pair_id"), swapped_answers(turns))
+
+
 @query("op5_prefix_bpe")
 def op5_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
