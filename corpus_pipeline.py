@@ -1,19 +1,45 @@
-"""From raw documents to packed training sequences: four stages, each over all that the one before it kept."""
+"""From raw documents to packed training sequences: four stages, each over all that the one before it kept.
+
+Every stage works on its own input: language ID learns from the labels it finds there, duplicates are those among
+the rows that are left. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.llm.exact_dedup import drop_duplicates
+from bazaarlens.llm.language_crf import keep_languages, train
+from bazaarlens.llm.packing import pack
+from bazaarlens.llm.simhash import drop_near_duplicates
 from bazaarlens.session import settle
 
+#: Mean probability of the language below which a document is rejected.
+LEAST_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a language of at least ``LEAST_SCORE``, go."""
+    return keep_languages(docs, train(docs), LEAST_SCORE).select(*docs.columns)
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return drop_duplicates(docs).select(*docs.columns)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of close fingerprints (3-word shingles, 2 bits) stays."""
+    return drop_near_duplicates(docs, shingle=3, radius=2).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1024 tokens, every window mixed from the sources like the whole."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", packing)]
 
 #: No SQL: the stages run a trained model, bit fingerprints and a tokenizer.
 ORACLE_SQL = None
