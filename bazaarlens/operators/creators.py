@@ -11,7 +11,7 @@ from bazaarlens.functions.columns import cascade, follower_tier, half_even, has_
 from bazaarlens.operators.dedup import latest_by, limit_by, newest, require_keys
 from bazaarlens.operators.lookups import dominant_category, explode_products, heaviest, linked, with_category
 from bazaarlens.session import settle
-from bazaarlens.operators.ranking import HOT_ROWS, group_quantiles, hot_keys, percentile_of, rank_within
+from bazaarlens.operators.ranking import group_quantiles, percentile_of, rank_within
 
 CRAWL_ORDER = ("updated_at", "last_time_crawled_at", "view_count")
 
@@ -161,12 +161,17 @@ FEATURE_MEDIANS = (
 )
 
 
-def creator_features(
-    scoped: DataFrame, channels: DataFrame, min_videos: int = 3, hot: DataFrame | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def creator_features(scoped: DataFrame, channels: DataFrame, min_videos: int = 3) -> DataFrame:
     """Median engagement rates and shopping shares per creator and window."""
     ids = ["window_days", "channel_base_id"]
-    rows = scoped.join(channels.select("channel_base_id", "follower_count"), "channel_base_id")
+    # medians and counts read the same narrow rows
+    rows = settle(
+        scoped.join(channels.select("channel_base_id", "follower_count"), "channel_base_id").select(
+            *ids, "channel_name", "follower_count", "view_count", "reaction_count", "comment_count", "share_count",
+            "collect_count", "list_product_base_id",
+        ),
+        "scoped",
+    )
     seen, shop = F.col("view_count") > 0, has_items("list_product_base_id")
 
     def med(cond: Column, value: Column) -> tuple[Column, float]:
@@ -183,8 +188,6 @@ def creator_features(
             "shoppable_med_view": med(seen & shop, F.col("view_count")),
             "purchase_intent": med(seen & shop, ratio(F.col("collect_count") + F.col("share_count"), "view_count")),
         },
-        hot,
-        hot_rows,
     )
     counts = (
         rows.groupBy(*ids)
@@ -211,7 +214,6 @@ def creator_percentiles(
     country: str | None = "vn",
     min_followers: int = 1000,
     min_videos: int = 3,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Percentile of every creator within (window, follower tier, primary niche)."""
     span = trailing("created_at_platform", max(windows), as_of)
@@ -232,9 +234,7 @@ def creator_percentiles(
     dedup = settle(latest_by(recent, ["post_base_id"], newest(*CRAWL_ORDER)).select(*fields), "posts")
     scoped = scope_windows(dedup, windows, as_of)
     followed = followed_channels(channels, country, min_followers, country_first=True)
-    # raw rows per channel bound its rows after the collapse
-    hot = hot_keys(recent, ["channel_base_id"], hot_rows)
-    features = creator_features(scoped, followed, min_videos, hot, hot_rows)
+    features = creator_features(scoped, followed, min_videos)
     niche = creator_niche(video_dominant_category(scoped, products, categories))
     if niches is not None:
         niche = niche.filter(F.col("primary_niche").isin(list(niches)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import band, cascade, clock, half_even, local_time, ratio
 from bazaarlens.operators.quality import compare_totals
-from bazaarlens.operators.ranking import spread_quantiles
+from bazaarlens.operators.ranking import group_quantiles
 from bazaarlens.sources.readers import complete_rows
 
 # Staging column <- document field, per table.
@@ -189,7 +189,7 @@ def fact_live_session(session: DataFrame, performance: DataFrame, metrics: DataF
 def product_state(df: DataFrame, impressions: str = "impressions") -> DataFrame:
     """Only in cart, High Focus (from the 75th percentile of products with impressions) or Pinned in live."""
     shown = df.filter(F.col(impressions) > 0).select(F.lit(1).alias("_one"), F.col(impressions).alias("_v"))
-    cut = spread_quantiles(shown, ["_one"], {"_p75": (F.col("_v"), 0.75)})
+    cut = group_quantiles(shown, ["_one"], {"_p75": (F.col("_v"), 0.75)})
     imp = F.coalesce(impressions, F.lit(0))
     out = df.withColumn("_one", F.lit(1)).join(F.broadcast(cut), "_one", "left")
     return out.withColumn(
@@ -200,7 +200,7 @@ def product_state(df: DataFrame, impressions: str = "impressions") -> DataFrame:
 def gmv_efficiency(df: DataFrame, min_clicks: int = 10, cap: float = 0.99) -> DataFrame:
     """GMV per 100 clicks, only from ``min_clicks`` clicks on, GMV capped at a percentile."""
     rows = df.withColumn("_one", F.lit(1))
-    top = spread_quantiles(rows, ["_one"], {"_cap": (F.col("gmv"), cap)})
+    top = group_quantiles(rows, ["_one"], {"_cap": (F.col("gmv"), cap)})
     capped = F.least(F.col("gmv").cast("double"), F.col("_cap"))
     return (
         rows.join(F.broadcast(top), "_one", "left")
@@ -212,7 +212,7 @@ def gmv_efficiency(df: DataFrame, min_clicks: int = 10, cap: float = 0.99) -> Da
 def product_matrix(df: DataFrame, clicks_q: float = 0.5, gmv_q: float = 0.5) -> DataFrame:
     """Four quadrants of clicks and GMV per 100 clicks; the cuts are quantiles of the rated products."""
     rated = df.filter(F.col("gmv_per_100_clicks").isNotNull()).withColumn("_one", F.lit(1))
-    cuts = spread_quantiles(
+    cuts = group_quantiles(
         rated, ["_one"], {"_c": (F.col("clicks"), clicks_q), "_g": (F.col("gmv_per_100_clicks"), gmv_q)}
     )
     busy, rich = F.col("clicks") >= F.col("_c"), F.col("gmv_per_100_clicks") >= F.col("_g")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import half_even, ratio
-from bazaarlens.operators.ranking import spread_quantiles
+from bazaarlens.operators.ranking import group_quantiles
 
 
 def compare_totals(before: DataFrame, after: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -100,7 +100,7 @@ def profile_nulls_outliers(df: DataFrame, columns: Sequence[str], fence: float =
     The quartiles are exact and never gather a column in one task.
     """
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])))
-    quart = spread_quantiles(long, ["column"], {"q1": (F.col("value"), 0.25), "q3": (F.col("value"), 0.75)})
+    quart = group_quantiles(long, ["column"], {"q1": (F.col("value"), 0.25), "q3": (F.col("value"), 0.75)})
     low = F.col("q1") - fence * (F.col("q3") - F.col("q1"))
     high = F.col("q3") + fence * (F.col("q3") - F.col("q1"))
     # one row per profiled column

@@ -1,10 +1,9 @@
 """Exact ranks and quantiles for groups of any size.
 
-A window or ``percentile`` puts a whole group into one task. Here each group is cut into
-value slices by a monotone function of the value. Slice totals are few
-(thousands per group), so their running sums are cheap; rows then only meet rows of the same slice.
-Equal values are counted before any shuffle, so a value shared by a third of the rows is
-one row per map task.
+A window or ``percentile`` puts a whole group into one task. Here equal values are counted first, so a value that
+a third of the rows share is one row per map task. The counts are then cut by range of (group, value): the cuts
+follow the data, so a large group goes to as many partitions as it needs, however close its values are. Sums per
+group and partition are few; rows only meet the rows of their group in their own partition.
 """
 
 from __future__ import annotations
@@ -15,42 +14,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group above this size is never aggregated in one buffer.
-HOT_ROWS = 1_000_000
-# Slices per unit of log(1 + 1e6 * |value|): a slice spans 0.1 % of its value, a factor of ten
-# takes about 2,400 slices, and a double up to 1e36 can reach about 100,000 of them.
-_FINE = 1024
+from bazaarlens.session import settle
 
 
-def value_slice(v: Column) -> Column:
-    """Monotone slice number of a double."""
-    size = F.floor(F.lit(_FINE) * F.log1p(F.abs(v) * F.lit(1e6)))
-    return F.when(v < 0, -size).otherwise(size)
+def _same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join in which NULL equals NULL."""
+    other = right.select(*[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns])
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(other, match).drop(*[f"_right_{c}" for c in on])
 
 
-def _distinct_values(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return (
-        long.groupBy(*keys, "_v").agg(F.count("*").alias("_cnt")).withColumn("_slice", value_slice(F.col("_v")))
-    )
-
+def _placed(long: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Distinct values ``_v`` of every group with their rows, the rows before them, and the group's totals.
 
-def _slice_offsets(values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows before each slice and rows of the whole group; bounded by the slice count."""
-    totals = values.groupBy(*keys, "_slice").agg(F.sum("_cnt").alias("_in_slice"))
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return totals.select(
-        *keys,
-        "_slice",
-        "_in_slice",
-        (F.sum("_in_slice").over(running) - F.col("_in_slice")).alias("_before"),
-        F.sum("_in_slice").over(group).alias("_total"),
+    NaN is the largest number; NULL comes after it.
+    """
+    value = F.col("_v").asc_nulls_last()
+    counts = long.groupBy(*group, "_v").agg(F.count("*").alias("_cnt"))
+    # written with the number of its range, which any later read then agrees on
+    cut = settle(counts.repartitionByRange(*group, value).withColumn("_part", F.spark_partition_id()), "values")
+    known = F.sum(F.when(F.col("_v").isNotNull(), F.col("_cnt")).otherwise(0))
+    sums = cut.groupBy(*group, "_part").agg(F.sum("_cnt").alias("_in"), known.alias("_in_known"))
+    whole = Window.partitionBy(*group)
+    # a group has one row here for each range that it reaches into
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(
+        *group,
+        "_part",
+        F.coalesce(F.sum("_in").over(earlier), F.lit(0)).alias("_base"),
+        F.sum("_in").over(whole).alias("_total"),
+        F.sum("_in_known").over(whole).alias("_known"),
+    )
+    inside = Window.partitionBy(*group, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumn("_before", F.coalesce(F.sum("_cnt").over(inside), F.lit(0)))
+    return _same(local, bases, [*group, "_part"]).select(
+        *group, "_v", "_cnt", (F.col("_base") + F.col("_before")).alias("_before"), "_total", "_known"
     )
-
-
-def _in_slice_before(keys: Sequence[str]) -> Column:
-    w = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum("_cnt").over(w) - F.col("_cnt")
 
 
 def rank_within(
@@ -60,29 +59,17 @@ def rank_within(
     values: Mapping[str, str],
     size_as: str = "group_size",
 ) -> DataFrame:
-    """Add ``rank()`` (ascending, NULL last, ties equal) of several columns within ``keys``.
+    """Add ``rank()`` (ascending, NaN last of the numbers, then NULL, ties equal) of several columns within ``keys``.
 
     ``ids`` must identify a row; ``values`` maps output name to value column.
     """
     names = list(values)
-    items = [
-        F.struct(F.lit(i).alias("_m"), F.coalesce(F.col(values[n]).cast("double"), F.lit(float("inf"))).alias("_v"))
-        for i, n in enumerate(names)
-    ]
+    items = [F.struct(F.lit(i).alias("_m"), F.col(values[n]).cast("double").alias("_v")) for i, n in enumerate(names)]
     long = df.select(*dict.fromkeys([*ids, *keys]), F.inline(F.array(*items)))
     group = [*keys, "_m"]
-    # infinity (NULL) has no finite slice: give it the last one
-    distinct = _distinct_values(long, group).withColumn(
-        "_slice", F.when(F.col("_v") == float("inf"), F.lit(2**40)).otherwise(F.col("_slice"))
-    )
-    offsets = _slice_offsets(distinct, group)
-    ranked = (
-        distinct.join(offsets, [*group, "_slice"])
-        .withColumn("_rank", F.col("_before") + _in_slice_before(group) + 1)
-        .select(*group, "_v", "_rank", "_total")
-    )
+    ranked = _placed(long, group).select(*group, "_v", (F.col("_before") + 1).alias("_rank"), "_total")
     wide = (
-        long.join(ranked, [*group, "_v"])
+        _same(long, ranked, [*group, "_v"])
         .groupBy(*ids)
         .agg(
             F.max("_total").alias(size_as),
@@ -99,50 +86,34 @@ def percentile_of(rank: Column | str, size: Column | str) -> Column:
     return F.bround(F.lit(100.0) * (r - 1) / F.nullif(n - 1, F.lit(0))).cast("int")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most total / hot_rows of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
-
-
-def spread_quantiles(
+def group_quantiles(
     df: DataFrame, keys: Sequence[str], metrics: Mapping[str, tuple[Column, float]]
 ) -> DataFrame:
-    """Exact interpolated quantiles per key without holding a group in one place.
+    """Exact interpolated quantiles per key.
 
-    ``metrics`` maps an output name to (value, q); NULL values are left out.
+    ``metrics`` maps an output name to (value, q). NULL values do not count; a key whose values are all NULL
+    stays, with NULL.
     """
     names = list(metrics)
     items = [
         F.struct(F.lit(i).alias("_m"), metrics[n][0].cast("double").alias("_v")) for i, n in enumerate(names)
     ]
-    long = df.select(*keys, F.inline(F.array(*items))).filter(F.col("_v").isNotNull())
     group = [*keys, "_m"]
-    distinct = _distinct_values(long, group)
+    rows = _placed(df.select(*keys, F.inline(F.array(*items))), group)
     q = reduce(
         lambda acc, i: F.when(F.col("_m") == i, F.lit(float(metrics[names[i]][1]))).otherwise(acc),
         range(len(names)),
         F.lit(None).cast("double"),
     )
-    place = q * (F.col("_total") - 1)
     # the quantile lies between the rows number lo and hi (from 0)
-    wanted = (
-        _slice_offsets(distinct, group)
-        .withColumn("_place", place)
-        .filter(
-            (F.col("_before") <= F.ceil("_place")) & (F.floor("_place") < F.col("_before") + F.col("_in_slice"))
-        )
-        .select(*group, "_slice", "_before", "_place")
-    )
-    rows = (
-        distinct.join(wanted, [*group, "_slice"])
-        .withColumn("_first", F.col("_before") + _in_slice_before(group))
-        .withColumn("_last", F.col("_first") + F.col("_cnt") - 1)
-    )
-    lo, hi = F.floor("_place"), F.ceil("_place")
+    place = q * (F.col("_known") - 1)
+    last = F.col("_before") + F.col("_cnt") - 1
+
+    def at(row: Column) -> Column:
+        return F.max(F.when(F.col("_v").isNotNull() & (F.col("_before") <= row) & (row <= last), F.col("_v")))
+
     ends = rows.groupBy(*group).agg(
-        F.max("_place").alias("_place"),
-        F.max(F.when((F.col("_first") <= lo) & (lo <= F.col("_last")), F.col("_v"))).alias("_lo"),
-        F.max(F.when((F.col("_first") <= hi) & (hi <= F.col("_last")), F.col("_v"))).alias("_hi"),
+        F.max(place).alias("_place"), at(F.floor(place)).alias("_lo"), at(F.ceil(place)).alias("_hi")
     )
     part = F.col("_place") - F.floor("_place")
     value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part
@@ -152,55 +123,6 @@ def spread_quantiles(
     )
 
 
-def _listed_quantiles(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, tuple[Column, float]]) -> DataFrame:
-    """Quantiles of groups known to be small: one list per group, sorted per metric.
-
-    Much lighter than ``percentile``, which keeps a hash map per group and metric.
-    """
-    row = F.struct(*[expr.cast("double").alias(n) for n, (expr, _) in metrics.items()])
-    lists = df.groupBy(*keys).agg(
-        F.collect_list(row).alias("_rows"), *[F.count(expr).alias(f"_k_{n}") for n, (expr, _) in metrics.items()]
-    )
-    # NULLs sort first
-    counted = lists.select(
-        *keys, *[f"_k_{n}" for n in metrics], *[F.sort_array(F.col("_rows")[n]).alias(f"_{n}") for n in metrics]
-    )
-
-    def pick(n: str, q: float) -> Column:
-        values, k = F.col(f"_{n}"), F.col(f"_k_{n}")
-        place = F.lit(q) * (k - 1)
-        skip = F.size(values) - k + 1
-        low = F.get(values, (skip + F.floor(place) - 1).cast("int"))
-        high = F.get(values, (skip + F.ceil(place) - 1).cast("int"))
-        part = place - F.floor(place)
-        value = F.when(low == high, low).otherwise(low + (high - low) * part)
-        return F.when(k > 0, value).alias(n)
-
-    return counted.select(*keys, *[pick(n, q) for n, (_, q) in metrics.items()])
-
-
-def group_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    metrics: Mapping[str, tuple[Column, float]],
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Exact quantiles for many keys, most of them small.
-
-    Small groups are sorted in place after one aggregation. The keys of ``hot`` (by default
-    the keys above ``hot_rows``) take the spread path. ``hot`` may list a superset of the
-    large keys on any subset of ``keys``, for example from a count of the raw table.
-    """
-    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
-    on = hot.columns
-    # at most total rows / hot_rows keys: 1e12 rows give 1e6 keys of a few bytes
-    few = F.broadcast(hot)
-    small = _listed_quantiles(df.join(few, on, "left_anti"), keys, metrics)
-    large = spread_quantiles(df.join(few, on, "left_semi"), keys, metrics)
-    return small.unionByName(large)
-
-
 def numbered(df: DataFrame, ids: Sequence[str], out: str = "position", seed: int | str | None = None) -> DataFrame:
     """Number all rows 1..n in the order of md5(ids), without a single-task sort.
 

@@ -273,10 +273,10 @@ T(("lineitem", "ag17_tolerance"), "SELECT l_orderkey, count(*) AS n_rows, sum(l_
 
 @query("ag18_upper_quantile", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_extendedprice >= (SELECT quantile_cont(l_extendedprice, 0.75) FROM lineitem)")
 def ag18_upper_quantile(spark, sf):
-    from bazaarlens.operators.ranking import spread_quantiles
+    from bazaarlens.operators.ranking import group_quantiles
 
     d = table(spark, sf, "lineitem").withColumn("_one", F.lit(1))
-    cut = spread_quantiles(d, ["_one"], {"p": (F.col("l_extendedprice"), 0.75)})
+    cut = group_quantiles(d, ["_one"], {"p": (F.col("l_extendedprice"), 0.75)})
     # a single row
     return d.join(F.broadcast(cut), "_one").filter(F.col("l_extendedprice") >= F.col("p")).select(*KEY, "l_partkey")
 
