@@ -118,23 +118,38 @@ def contains_any(c: Column | str, parts: Sequence[str]) -> Column:
 
 # Unicode word classes cost time, so only patterns that name a class ask for them.
 _CLASS = re.compile(r"\\[bBwWdDsS]")
-_LITERAL = re.compile(r"[\w #:&/-]+")
+# text without a meaning of its own in a pattern, and escaped marks
+_LITERAL = re.compile(r"(?:[\w #:&/-]|\\[^\w\s]|\\ )+")
 
 
-def _flags(pattern: str) -> str:
-    return "(?U)" if _CLASS.search(pattern) else ""
+def _flags(pattern: str, ignore_case: bool = False) -> str:
+    return ("(?iu)" if ignore_case else "") + ("(?U)" if _CLASS.search(pattern) else "")
+
+
+def _alternatives(pattern: str) -> list[str] | None:
+    """The pattern cut at each bar that is not escaped; None if it has groups, classes or counts."""
+    parts, escaped = [""], False
+    for ch in pattern:
+        if not escaped and ch in "([{":
+            return None
+        if not escaped and ch == "|":
+            parts.append("")
+        else:
+            parts[-1] += ch
+        escaped = ch == "\\" and not escaped
+    return parts
 
 
 def split_literals(pattern: str) -> tuple[list[str], str]:
-    """Alternatives that are plain text, and the rest of the pattern."""
-    if any(ch in pattern for ch in "([{"):
+    """Alternatives that are plain text, without their escapes, and the rest of the pattern."""
+    parts = _alternatives(pattern)
+    if parts is None:
         return [], pattern
-    parts = pattern.split("|")
-    plain = [p for p in parts if _LITERAL.fullmatch(p)]
+    plain = [re.sub(r"\\(.)", r"\1", p) for p in parts if _LITERAL.fullmatch(p)]
     return plain, "|".join(p for p in parts if not _LITERAL.fullmatch(p))
 
 
-def pattern_hit(text: Column | str, pattern: str | None) -> Column:
+def pattern_hit(text: Column | str, pattern: str | None, ignore_case: bool = False) -> Column:
     """Regex search with Unicode word edges; an empty pattern never hits.
 
     Plain alternatives become substring tests, which scan several times faster than a
@@ -143,18 +158,20 @@ def pattern_hit(text: Column | str, pattern: str | None) -> Column:
     if not pattern or not pattern.strip():
         return F.lit(False)
     plain, rest = split_literals(pattern)
+    if ignore_case:
+        plain = [p.lower() for p in plain]
     # a text that contains "abc" contains "ab": only the shortest words need a test
     plain = [p for p in dict.fromkeys(plain) if not any(o != p and o in p for o in plain)]
-    hit = contains_any(text, plain) if plain else F.lit(False)
+    hit = contains_any(F.lower(col(text)) if ignore_case else text, plain) if plain else F.lit(False)
     if rest:
-        hit = hit | col(text).rlike(_flags(rest) + rest)
+        hit = hit | col(text).rlike(_flags(rest, ignore_case) + rest)
     return F.coalesce(hit, F.lit(False))
 
 
-def first_offset(text: Column | str, pattern: str) -> Column:
+def first_offset(text: Column | str, pattern: str, ignore_case: bool = False) -> Column:
     """0-based offset, in characters, of the first match; NULL without one."""
-    before = F.regexp_extract(col(text), "(?s)" + _flags(pattern) + "^(.*?)(?:" + pattern + ")", 1)
-    return F.when(pattern_hit(text, pattern), F.length(before))
+    before = F.regexp_extract(col(text), "(?s)" + _flags(pattern, ignore_case) + "^(.*?)(?:" + pattern + ")", 1)
+    return F.when(pattern_hit(text, pattern, ignore_case), F.length(before))
 
 
 def any_of(terms: Iterable[str], extra: str | None = None) -> str:

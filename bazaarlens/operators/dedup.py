@@ -74,17 +74,18 @@ def merge_master(
 ) -> DataFrame:
     """Merge two snapshots on the composite key; the current row wins.
 
-    ``order`` decides between rows of one snapshot that share a key. ``keep_tags`` lists
-    columns whose previous value survives when the key already existed.
+    ``order`` decides between rows of one snapshot that share a key, then all columns do, so
+    that a merge repeats. ``keep_tags`` lists columns whose previous value survives when the key already existed.
     """
     id_col = keys[0]
     both = normalize_ids(old, id_col).withColumn("_priority", F.lit(0)).unionByName(
         normalize_ids(new, id_col).withColumn("_priority", F.lit(1)), allowMissingColumns=True
     )
-    merged = latest_by(both, keys, [F.desc("_priority"), *order]).drop("_priority")
+    rest = [F.asc_nulls_last(c) for c, t in both.dtypes if c != "_priority" and not t.startswith("map")]
+    merged = latest_by(both, keys, [F.desc("_priority"), *order, *rest]).drop("_priority")
     if not keep_tags:
         return merged
-    kept = latest_by(normalize_ids(old, id_col), keys, list(order) or [F.asc(id_col)]).select(
+    kept = latest_by(normalize_ids(old, id_col), keys, [*order, *[F.asc_nulls_last(c) for c, t in old.dtypes if not t.startswith("map")]]).select(
         *keys, *[F.col(c).alias(f"_old_{c}") for c in keep_tags]
     )
     out = merged.join(kept, list(keys), "left")
@@ -96,4 +97,4 @@ def merge_master(
 def append_new(df: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows to insert: one per key, and only keys that the target lacks."""
     fresh = first_by(df, keys, order)
-    return fresh.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return fresh.join(existing.select(*keys), list(keys), "left_anti")

@@ -12,35 +12,136 @@ from bazaarlens.operators.quality import compare_totals
 from bazaarlens.operators.ranking import group_quantiles
 from bazaarlens.sources.readers import complete_rows
 
-# Staging column <- document field, per table.
-SESSION = """session_id=sessionId title status start_time_ms=startTime duration_ms=duration cover_image=coverImage viewers views
-peak_views=peakViews engaged_uv=engagedUv avg_engaged_ccu=avgEngagedCcu avg_views_duration_ms=avgViewsDuration
-thirty_mins_count=thirtyMinsCount comments likes atc product_clicks=productClicks conversion_rate=conversionRate
-followers_growth=followersGrowth paid_orders=paidOrders paid_sales=paidSales placed_orders=placedOrders
-placed_item_sold=placedItemSold placed_sales=placedSales confirmed_orders=confirmedOrders
-confirmed_item_sold=confirmedItemSold confirmed_sales=confirmedSales"""
-LIVE_INFO = "session_id=sessionId title status start_time_ms=startTime duration_ms=duration cover_image=coverImage"
-PERFORMANCE = """views viewers likes comments shares paid_orders=paidOrders paid_sales=paidSales placed_orders=placedOrders
-placed_sales=placedSales item_placed_orders=itemPlacedOrders placed_buyers=placedBuyers
-placed_sales_per_buyer=placedSalesPerBuyer confirmed_orders=confirmedOrders confirmed_sales=confirmedSales
-item_confirmed_orders=itemConfirmedOrders confirmed_buyers=confirmedBuyers
-confirmed_sales_per_buyer=confirmedSalesPerBuyer comment_rate=commentRate"""
-PROMOTION = """coins_round=coinsRound coins_claimed=coinsClaimed time_claimed=timeClaimed auction_round=auctionRound
-user_claimed=userClaimed"""
-KEY_METRICS = """live_cover_clicks_rate=liveCoverClicksRate ctr avg_view_duration_ms=avgViewDuration peak_viewers=peakViewers
-engaged_viewers=engagedViewers followers_growth=followersGrowth product_imp=productImp product_clicks=productClicks
-product_click_uv=productClickUv product_click_rate=productClickRate atc conversion_rate=conversionRate
-sales_per_buyer=salesPerBuyer sales_per_order=salesPerOrder placed_gpm=placedGPM confirmed_gpm=confirmedGPM
-placed_cor=placedCOR confirmed_cor=confirmedCOR placed_abs=placedABS confirmed_abs=confirmedABS
-placed_imp_order_rate=placedImpOrderRate confirmed_imp_order_rate=confirmedImpOrderRate"""
-PRODUCT = """item_id=itemId shop_id=shopId title cover_image=coverImage min_price=minPrice max_price=maxPrice viewers clicks
-click_rate=clickRate atc paid_orders=paidOrders paid_sales=paidSales placed_orders=placedOrders
-placed_item_sold=placedItemSold placed_sales=placedSales placed_co_rate=placedCORate confirmed_orders=confirmedOrders
-confirmed_item_sold=confirmedItemSold confirmed_sales=confirmedSales confirmed_co_rate=confirmedCORate
-conversion_rate=conversionRate affiliate_orders=affiliateOrders affiliate_item_sold=affiliateItemSold
-affiliate_sales=affiliateSales grass_date=grassDate"""
-MINUTE = """bucket_time_ms=time views viewers likes comment atc ccu engaged_ccu=engagedCcu placed_orders=placedOrders
-placed_sales=placedSales confirmed_orders=confirmedOrders confirmed_sales=confirmedSales"""
+# Staging column, document field and type, per table.
+SESSION = [
+    ("session_id", "sessionId", "bigint"),
+    ("title", "title", "string"),
+    ("status", "status", "bigint"),
+    ("start_time_ms", "startTime", "bigint"),
+    ("duration_ms", "duration", "bigint"),
+    ("cover_image", "coverImage", "string"),
+    ("viewers", "viewers", "bigint"),
+    ("views", "views", "bigint"),
+    ("peak_views", "peakViews", "bigint"),
+    ("engaged_uv", "engagedUv", "bigint"),
+    ("avg_engaged_ccu", "avgEngagedCcu", "bigint"),
+    ("avg_views_duration_ms", "avgViewsDuration", "bigint"),
+    ("thirty_mins_count", "thirtyMinsCount", "bigint"),
+    ("comments", "comments", "bigint"),
+    ("likes", "likes", "bigint"),
+    ("atc", "atc", "bigint"),
+    ("product_clicks", "productClicks", "bigint"),
+    ("conversion_rate", "conversionRate", "double"),
+    ("followers_growth", "followersGrowth", "bigint"),
+    ("paid_orders", "paidOrders", "bigint"),
+    ("paid_sales", "paidSales", "double"),
+    ("placed_orders", "placedOrders", "bigint"),
+    ("placed_item_sold", "placedItemSold", "bigint"),
+    ("placed_sales", "placedSales", "double"),
+    ("confirmed_orders", "confirmedOrders", "bigint"),
+    ("confirmed_item_sold", "confirmedItemSold", "bigint"),
+    ("confirmed_sales", "confirmedSales", "double"),
+]
+LIVE_INFO = [
+    ("session_id", "sessionId", "bigint"),
+    ("title", "title", "string"),
+    ("status", "status", "bigint"),
+    ("start_time_ms", "startTime", "bigint"),
+    ("duration_ms", "duration", "bigint"),
+    ("cover_image", "coverImage", "string"),
+]
+PERFORMANCE = [
+    ("views", "views", "bigint"),
+    ("viewers", "viewers", "bigint"),
+    ("likes", "likes", "bigint"),
+    ("comments", "comments", "bigint"),
+    ("shares", "shares", "bigint"),
+    ("paid_orders", "paidOrders", "bigint"),
+    ("paid_sales", "paidSales", "double"),
+    ("placed_orders", "placedOrders", "bigint"),
+    ("placed_sales", "placedSales", "double"),
+    ("item_placed_orders", "itemPlacedOrders", "bigint"),
+    ("placed_buyers", "placedBuyers", "bigint"),
+    ("placed_sales_per_buyer", "placedSalesPerBuyer", "double"),
+    ("confirmed_orders", "confirmedOrders", "bigint"),
+    ("confirmed_sales", "confirmedSales", "double"),
+    ("item_confirmed_orders", "itemConfirmedOrders", "bigint"),
+    ("confirmed_buyers", "confirmedBuyers", "bigint"),
+    ("confirmed_sales_per_buyer", "confirmedSalesPerBuyer", "double"),
+    ("comment_rate", "commentRate", "double"),
+]
+PROMOTION = [
+    ("coins_round", "coinsRound", "bigint"),
+    ("coins_claimed", "coinsClaimed", "bigint"),
+    ("time_claimed", "timeClaimed", "bigint"),
+    ("auction_round", "auctionRound", "bigint"),
+    ("user_claimed", "userClaimed", "bigint"),
+]
+KEY_METRICS = [
+    ("live_cover_clicks_rate", "liveCoverClicksRate", "double"),
+    ("ctr", "ctr", "double"),
+    ("avg_view_duration_ms", "avgViewDuration", "bigint"),
+    ("peak_viewers", "peakViewers", "bigint"),
+    ("engaged_viewers", "engagedViewers", "bigint"),
+    ("followers_growth", "followersGrowth", "bigint"),
+    ("product_imp", "productImp", "bigint"),
+    ("product_clicks", "productClicks", "bigint"),
+    ("product_click_uv", "productClickUv", "bigint"),
+    ("product_click_rate", "productClickRate", "double"),
+    ("atc", "atc", "bigint"),
+    ("conversion_rate", "conversionRate", "double"),
+    ("sales_per_buyer", "salesPerBuyer", "double"),
+    ("sales_per_order", "salesPerOrder", "double"),
+    ("placed_gpm", "placedGPM", "double"),
+    ("confirmed_gpm", "confirmedGPM", "double"),
+    ("placed_cor", "placedCOR", "double"),
+    ("confirmed_cor", "confirmedCOR", "double"),
+    ("placed_abs", "placedABS", "double"),
+    ("confirmed_abs", "confirmedABS", "double"),
+    ("placed_imp_order_rate", "placedImpOrderRate", "double"),
+    ("confirmed_imp_order_rate", "confirmedImpOrderRate", "double"),
+]
+PRODUCT = [
+    ("item_id", "itemId", "string"),
+    ("shop_id", "shopId", "bigint"),
+    ("title", "title", "string"),
+    ("cover_image", "coverImage", "string"),
+    ("min_price", "minPrice", "double"),
+    ("max_price", "maxPrice", "double"),
+    ("viewers", "viewers", "bigint"),
+    ("clicks", "clicks", "bigint"),
+    ("click_rate", "clickRate", "double"),
+    ("atc", "atc", "bigint"),
+    ("paid_orders", "paidOrders", "bigint"),
+    ("paid_sales", "paidSales", "double"),
+    ("placed_orders", "placedOrders", "bigint"),
+    ("placed_item_sold", "placedItemSold", "bigint"),
+    ("placed_sales", "placedSales", "double"),
+    ("placed_co_rate", "placedCORate", "double"),
+    ("confirmed_orders", "confirmedOrders", "bigint"),
+    ("confirmed_item_sold", "confirmedItemSold", "bigint"),
+    ("confirmed_sales", "confirmedSales", "double"),
+    ("confirmed_co_rate", "confirmedCORate", "double"),
+    ("conversion_rate", "conversionRate", "double"),
+    ("affiliate_orders", "affiliateOrders", "bigint"),
+    ("affiliate_item_sold", "affiliateItemSold", "bigint"),
+    ("affiliate_sales", "affiliateSales", "double"),
+    ("grass_date", "grassDate", "bigint"),
+]
+MINUTE = [
+    ("bucket_time_ms", "time", "bigint"),
+    ("views", "views", "bigint"),
+    ("viewers", "viewers", "bigint"),
+    ("likes", "likes", "bigint"),
+    ("comment", "comment", "bigint"),
+    ("atc", "atc", "bigint"),
+    ("ccu", "ccu", "bigint"),
+    ("engaged_ccu", "engagedCcu", "bigint"),
+    ("placed_orders", "placedOrders", "bigint"),
+    ("placed_sales", "placedSales", "double"),
+    ("confirmed_orders", "confirmedOrders", "bigint"),
+    ("confirmed_sales", "confirmedSales", "double"),
+]
 # Traffic sources (id, label, confidence).
 TRAFFIC_LABELS = [
     (1, "Live tab / Live feed", "MEDIUM"),
@@ -55,24 +156,12 @@ TRAFFIC_LABELS = [
     (99, "Others / Unknown", "HIGH"),
 ]
 
-_TEXT = {"title", "coverImage", "itemId"}
-_REAL = {"commentRate", "ctr"}
-
+Fields = list[tuple[str, str, str]]
 
-def _pairs(fields: str) -> list[tuple[str, str]]:
-    return [(p.split("=")[0], p.split("=")[-1]) for p in fields.split()]
 
-
-def _struct(fields: str) -> str:
-    """Document schema of a field list: texts, rates and money as double, the rest whole numbers."""
-
-    def kind(name: str) -> str:
-        if name in _TEXT:
-            return "string"
-        real = name in _REAL or any(w in name for w in ("Rate", "Sales", "sales", "GPM", "COR", "Price"))
-        return "double" if real else "bigint"
-
-    return ", ".join(f"{src}:{kind(src)}" for src in dict.fromkeys(src for _, src in _pairs(fields)))
+def _struct(fields: Fields) -> str:
+    """Document schema of a table."""
+    return ", ".join(f"{field}:{kind}" for field, kind in dict.fromkeys((field, kind) for _, field, kind in fields))
 
 
 SESSION_SCHEMA = f"struct<{_struct(SESSION)}>"
@@ -86,8 +175,8 @@ TRAFFIC_SCHEMA = "struct<code:int, data:array<struct<sourceId:int, view:bigint,
 PROFILE_SCHEMA = "struct<code:int, data:array<struct<type:string, distribution:array<struct<itemName:string, value:bigint>>>>>"
 
 
-def _columns(root: str, fields: str) -> list[Column]:
-    return [F.col(f"{root}.{src}").alias(out) for out, src in _pairs(fields)]
+def _columns(root: str, fields: Fields) -> list[Column]:
+    return [F.col(f"{root}.{field}").alias(out) for out, field, _ in fields]
 
 
 def _times(df: DataFrame) -> DataFrame:
@@ -140,18 +229,28 @@ def stage_traffic(docs: DataFrame) -> DataFrame:
 
 
 def stage_product(docs: DataFrame) -> DataFrame:
-    """One row per item; the repeats of an item are added up, its texts and prices are kept."""
-    rows = docs.select(*_columns("data", PRODUCT))
+    """One row per item over its documents of different sessions.
+
+    A document that repeats another in every field is a repeated delivery and counts once. Counts and money are added
+    up; a rate is the mean of the documents' rates, weighted by what it is a rate of (plain if that is nowhere
+    known); texts and prices are kept.
+    """
+    rows = docs.select(*_columns("data", PRODUCT)).distinct()
     add = ["viewers", "clicks", "atc", "paid_orders", "paid_sales", "placed_orders", "placed_item_sold", "placed_sales",
            "confirmed_orders", "confirmed_item_sold", "confirmed_sales", "affiliate_orders", "affiliate_item_sold", "affiliate_sales"]
-    rates = ["click_rate", "placed_co_rate", "confirmed_co_rate", "conversion_rate"]
+    rates = {"click_rate": "viewers", "placed_co_rate": "clicks", "confirmed_co_rate": "clicks", "conversion_rate": "clicks"}
+
+    def mean(rate: str, weight: str) -> Column:
+        of = F.sum(F.when(F.col(rate).isNotNull(), F.col(weight)))
+        return F.coalesce(ratio(F.sum(F.col(rate) * F.col(weight)), of), F.avg(rate))
+
     return rows.groupBy("item_id", "shop_id").agg(
         F.max("title").alias("title"),
         F.max("cover_image").alias("cover_image"),
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
         *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in add],
-        *[F.max(c).alias(c) for c in rates],
+        *[mean(c, w).alias(c) for c, w in rates.items()],
         F.max("grass_date").alias("grass_date"),
         F.count("*").alias("documents"),
     )

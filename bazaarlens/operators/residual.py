@@ -7,8 +7,10 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bazaarlens.functions.columns import blank_to
+from bazaarlens.operators.dedup import first_by
 from bazaarlens.operators.ranking import numbered
 
 # Allowed audiences of the second stage and its default brand.
@@ -33,34 +35,52 @@ def pack_batches(batches: DataFrame, fields: Sequence[str]) -> DataFrame:
     return batches.groupBy("batch_id").agg(F.collect_list(F.struct(*fields)).alias("skus"))
 
 
-def run_batches(packed: DataFrame, tag: Callable[[list[dict]], list[dict]], schema: str) -> DataFrame:
-    """Call a tagger per batch on the executors; a failing batch yields no rows."""
+def run_batches(
+    packed: DataFrame, tag: Callable[[list[dict]], list[dict]], schema: str, key: str = "product_base_id"
+) -> DataFrame:
+    """Call a tagger per batch on the executors; adds ``status`` and ``error`` to the columns of ``schema``.
+
+    The items of a failing batch come back with status ``failed``, the error's text and NULL in all other columns,
+    so the caller can send them again. Items that a successful call leaves out have status ``open``.
+    """
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for skus in frame["skus"]:
+                items = [s.asDict() if hasattr(s, "asDict") else dict(s) for s in skus]
                 try:
-                    found = tag([s.asDict() if hasattr(s, "asDict") else dict(s) for s in skus])
-                except Exception:  # noqa: BLE001
-                    found = []
+                    found = [{**r, "status": "tagged", "error": None} for r in tag(items)]
+                    done = {r[key] for r in found}
+                    found += [{key: i[key], "status": "open", "error": None} for i in items if i[key] not in done]
+                except Exception as why:  # noqa: BLE001  kept with every item of the batch
+                    found = [{key: i[key], "status": "failed", "error": f"{type(why).__name__}: {why}"} for i in items]
                 if found:
-                    yield pd.DataFrame(found)
+                    yield pd.DataFrame([[r.get(n) for n in names] for r in found], columns=names, dtype=object)
 
-    return packed.select("skus").mapInPandas(call, schema)
+    out = f"{schema}, status string, error string"
+    names = StructType.fromDDL(out).names
+    return packed.select("skus").mapInPandas(call, out)
 
 
 def apply_results(df: DataFrame, results: DataFrame, hint: str, key: str = "product_base_id") -> DataFrame:
     """Attach second-stage results to all rows of an id, within the allowed values.
 
     The category must be the hint or empty, the audience one of three; an empty brand
-    becomes 'No Brand'. A result that breaks a rule is cleared, not guessed.
+    becomes 'No Brand'. A result that breaks a rule is cleared, not guessed. Failed and open items count as without
+    result; of several results for an id the first in the order of all columns counts. ``signs_reasons``, the
+    text that explains a decision, goes along where the results have it.
     """
+    if "status" in results.columns:
+        results = results.filter(F.col("status") == "tagged")
+    results = first_by(results, [key], [F.asc_nulls_last(c) for c in results.columns if c != key])
+    reasons = [c for c in ("signs_reasons",) if c in results.columns]
     category, gender = F.coalesce("r_category", F.lit("")), F.col("r_gender")
     clean = results.select(
         key,
         F.when(category == hint, category).otherwise("").alias("category"),
         F.when(gender.isin(GENDERS), gender).alias("gender"),
         blank_to("r_brand", NO_BRAND).alias("brand_tagged"),
+        *reasons,
         F.lit(True).alias("_hit"),
-    ).dropDuplicates([key])
+    )
     return df.join(clean, key, "left").withColumn("tagged", F.coalesce("_hit", F.lit(False))).drop("_hit")

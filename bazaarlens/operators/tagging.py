@@ -100,16 +100,16 @@ def tag_flag(df: DataFrame, rules: Sequence[Rule], out: str, default: str = "")
 
 
 def tag_earliest(df: DataFrame, rules: Sequence[Rule], out: str) -> DataFrame:
-    """Label whose keyword comes first; hashtags stand before the description."""
+    """Label whose keyword comes first, in any case; hashtags stand before the description."""
     tags, desc = _text("hashtags"), _text("description")
     found = []
     for seq, rule in enumerate(rules):
         places = []
         if rule.source in ("hashtags", "both"):
-            places.append(first_offset(tags, rule.pattern))
+            places.append(first_offset(tags, rule.pattern, ignore_case=True))
         if rule.source in ("description", "both"):
             base = F.length(tags) + 1 if rule.source == "both" else F.lit(0)
-            places.append(base + first_offset(desc, rule.pattern))
+            places.append(base + first_offset(desc, rule.pattern, ignore_case=True))
         if places:
             at = places[0] if len(places) == 1 else F.least(*places)
             found.append(
@@ -171,7 +171,9 @@ def creator_base(
         F.max("platform_created_at").alias("last_video_at"),
         *hits,
     )
-    profile = first_by(channels, ["channel_id"], [F.asc_nulls_last(c) for c in channels.columns if c != "channel_id"])
+    # the given order decides; the other columns only make ties repeatable
+    ties = dict.fromkeys([*(c for c in order if c in channels.columns), *channels.columns])
+    profile = first_by(channels, ["channel_id"], [F.asc_nulls_last(c) for c in ties if c != "channel_id"])
     if "video_count" in profile.columns:
         profile = profile.withColumnRenamed("video_count", "channel_total_video")
     out = base.join(profile, "channel_id", "left")

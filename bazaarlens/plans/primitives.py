@@ -237,7 +237,7 @@ def ag10_median_if(spark, sf):
     return group_quantiles(table(spark, sf, "lineitem"), [SUP], {"med": (value, 0.5)})
 
 
-T(("lineitem", "ag11_count_if"), f"SELECT l_suppkey, count(*) FILTER (l_returnflag = 'R') AS n, {r(div(chr(99) + 'ount(*) FILTER (l_returnflag = ' + chr(39) + 'R' + chr(39) + ')', 'count(*)'))} AS part FROM lineitem GROUP BY 1")(
+T(("lineitem", "ag11_count_if"), f"SELECT l_suppkey, count(*) FILTER (l_returnflag = 'R') AS n, {r(div("count(*) FILTER (l_returnflag = 'R')", "count(*)"))} AS part FROM lineitem GROUP BY 1")(
     lambda d: d.groupBy(SUP).agg(F.count_if(F.col("l_returnflag") == "R").alias("n"), F.bround(c.ratio(F.count_if(F.col("l_returnflag") == "R"), F.count("*")), 6).alias("part"))
 )
 T(("orders", "ag12_first_non_null"), "SELECT o_custkey, arg_min(nullif(o_orderstatus, 'F'), o_orderkey) FILTER (o_orderstatus <> 'F') AS status FROM orders GROUP BY 1")(

@@ -20,14 +20,14 @@ from bazaarlens.plans.creators import BRAND_COUNTS, CAT_COUNTS, TAGGED, brand_ha
 from bazaarlens.plans.registry import div, query, r
 from bazaarlens.plans.views import categories, ctes, latest_sql, posts, products
 from bazaarlens.session import settle
-from bazaarlens.sources.tables import spread, table
+from bazaarlens.sources.tables import table
 
 # ---------------------------------------------------------------------------------------
 # videos as texts
 
 
 def clips(spark, sf):
-    d = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
     return d.select(
         F.col("doc_id").alias("video_id"),
         F.col("source").alias("channel_id"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -117,13 +116,14 @@ def complete_rows(doc: Column | str, schema: str) -> Column:
 
 
 def latest_file(spark: SparkSession, glob: str, by: str = "modificationTime") -> str | None:
-    """Path of the newest file of a glob; only file metadata is read."""
-    try:
-        files = spark.read.format("binaryFile").load(glob).select("path", "modificationTime", F.col("path").alias("name"))
-    except AnalysisException:
-        return None
-    row = files.orderBy(F.desc("name" if by == "name" else by), F.desc("path")).first()
-    return row["path"] if row else None
+    """Path of the newest match of a glob, a file or a table's whole folder; None without a match.
+
+    ``by`` is modificationTime or name; ties go to the larger path. Only metadata is read.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    rows = [(0 if by == "name" else f.getModificationTime(), f.getPath().toString()) for f in found or ()]
+    return max(rows)[1] if rows else None
 
 
 def load_rules(spark: SparkSession, path: str) -> list[Rule]:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.operators.dedup import append_new
+from bazaarlens.sources.tables import exists
 
 
 def write_tagged(df: DataFrame, path: str, columns: Sequence[str], tags: Sequence[str], kind: str = "csv") -> None:
@@ -19,12 +19,12 @@ def write_tagged(df: DataFrame, path: str, columns: Sequence[str], tags: Sequenc
 
 
 def insert_new(df: DataFrame, target: str, keys: Sequence[str], order: Sequence[Column]) -> None:
-    """Append the rows whose key the target lacks; running it again adds nothing."""
+    """Append the rows whose key the target lacks; running it again adds nothing.
+
+    Only a missing target counts as empty; one that cannot be read is an error. One writer at a time.
+    """
     spark = df.sparkSession
-    try:
-        existing = spark.read.parquet(target)
-    except AnalysisException:
-        existing = df.limit(0)
+    existing = spark.read.parquet(target) if exists(spark, target) else df.limit(0)
     append_new(df, existing, keys, order).write.mode("append").parquet(target)
 
 
@@ -39,10 +39,9 @@ def attach_tags(facts: DataFrame, tags: DataFrame, key: str = "post_base_id") ->
     return out.withColumn("category_confidence", F.coalesce("category_confidence", F.lit(0.0))) if "category_confidence" in extra else out
 
 
-def write_serving(df: DataFrame, path: str, by: str = "category_l1", files: int = 8) -> None:
-    """Partitioned by category; a hot category is spread over ``files`` writers."""
-    spread = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(files))
-    df.repartition(F.col(by), spread).write.mode("overwrite").partitionBy(by).parquet(path)
+def write_serving(df: DataFrame, path: str, by: str = "category_l1") -> None:
+    """Partitioned by category. Rebalanced by size: a hot category gets as many writers as it has data for."""
+    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def metrics_report(metrics: DataFrame, settings: dict[str, str]) -> DataFrame:

@@ -18,13 +18,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for text work when the scan has fewer splits than the cluster has cores.
-
-    A table of many files keeps its splits and pays no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder? Any other trouble with the path is an error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def load_posts(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

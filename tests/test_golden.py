@@ -1,5 +1,6 @@
 """Worked examples with known results."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import columns as c
@@ -205,3 +206,81 @@ def test_attributed_views_add_up(spark):
     cats = spark.createDataFrame([("1", "One"), ("2", "Two")], "category_id string, category_name string")
     got = {r.category: r.category_total_view for r in creators.attribute_views(posts, products, cats).collect()}
     assert got == {"One": 19.0, "Two": 10.0, "Unknown": 10.0}
+
+
+@pytest.mark.parametrize(
+    "pattern,hits",
+    [
+        (["a|b"], ["xa|by"]),
+        (["a|b", "c."], ["xa|by", "c. d"]),
+        (["(x)"], ["the (x)"]),
+        (["a\\b"], ["a\\b"]),
+        (["1+1", "[y]"], ["is 1+1", "[y]"]),
+    ],
+)
+def test_rules_match_their_terms_literally(spark, pattern, hits):
+    from bazaarlens.functions.text import any_of, pattern_hit
+
+    others = ["b", "a", "c d", "x", "11", "y", "ab", "(", "|", ""]
+    df = spark.createDataFrame([(t,) for t in [*hits, *others]], "t string")
+    got = {r.t for r in df.filter(pattern_hit("t", any_of(pattern))).collect()}
+    assert got == set(hits)
+
+
+def test_patterns_in_any_case(spark):
+    from bazaarlens.functions.text import first_offset, pattern_hit
+
+    df = spark.createDataFrame([("x UNBOXING y",), ("ĐẸP",), ("none",)], "t string")
+    assert [r[0] for r in df.select(first_offset("t", "unboxing|đẹ+p", ignore_case=True)).collect()] == [2, 0, None]
+    assert [r[0] for r in df.select(pattern_hit("t", "Unboxing", ignore_case=True)).collect()] == [True, False, False]
+
+
+def test_a_failing_batch_is_reported(spark):
+    from bazaarlens.operators import residual
+
+    items = spark.createDataFrame([(i, f"n{i}") for i in range(90)], "product_base_id long, product_name string")
+
+    def tag(skus):
+        if any(s["product_base_id"] == 7 for s in skus):
+            raise TimeoutError("no answer")
+        return [{"product_base_id": s["product_base_id"], "r_category": "c", "r_gender": "nam", "r_brand": "b", "signs_reasons": "seen"} for s in skus[1:]]
+
+    packed = residual.pack_batches(residual.residual_batches(items), ["product_base_id", "product_name"])
+    out = residual.run_batches(packed, tag, "product_base_id long, r_category string, r_gender string, r_brand string, signs_reasons string").cache()
+    counts = {r.status: r["count"] for r in out.groupBy("status").count().collect()}
+    assert counts == {"failed": 30, "open": 2, "tagged": 58}
+    assert {r.error for r in out.filter("status = 'failed'").collect()} == {"TimeoutError: no answer"}
+    applied = residual.apply_results(items.withColumn("hint", F.lit("c")), out, "hint")
+    assert applied.filter("tagged").count() == 58 and applied.filter("signs_reasons = 'seen'").count() == 58
+
+
+def test_a_merge_with_ties_repeats(spark):
+    from bazaarlens.operators.dedup import merge_master
+
+    old = spark.createDataFrame([("A_old", "x", 1), ("A_new", "x", 2)], "sku_id string, partner_category string, revenue int")
+    for rows in (old, old.orderBy("revenue"), old.orderBy("sku_id")):
+        assert [r.revenue for r in merge_master(rows, old.limit(0)).collect()] == [1]
+
+
+def test_item_rates_are_means_of_documents(spark):
+    from bazaarlens.operators.live import PRODUCT_SCHEMA, stage_product
+
+    docs = [
+        '{"itemId": "a", "shopId": 1, "viewers": 100, "clicks": 10, "clickRate": 0.1, "conversionRate": 0.2, "placedSales": 918400.5}',
+        '{"itemId": "a", "shopId": 1, "viewers": 300, "clicks": 90, "clickRate": 0.3, "conversionRate": 1.0, "placedSales": 1.0}',
+        '{"itemId": "a", "shopId": 1, "viewers": 300, "clicks": 90, "clickRate": 0.3, "conversionRate": 1.0, "placedSales": 1.0}',
+        '{"itemId": "b", "shopId": 1, "viewers": 0, "clicks": 0, "clickRate": 0.4}',
+    ]
+    frame = spark.createDataFrame([(d,) for d in docs], "doc string").select(F.from_json("doc", PRODUCT_SCHEMA).alias("data"))
+    got = {r.item_id: r for r in stage_product(frame).collect()}
+    assert (got["a"].viewers, got["a"].documents, got["a"].placed_sales) == (400, 2, 918401.5)
+    assert abs(got["a"].click_rate - 0.25) < 1e-12 and abs(got["a"].conversion_rate - 0.92) < 1e-12
+    assert got["b"].click_rate == 0.4
+
+
+def test_basket_sizes_may_have_decimals(spark):
+    from bazaarlens.operators.live import DETAIL_SCHEMA, stage_key_metrics
+
+    doc = '{"code": 0, "data": {"liveInfo": {"sessionId": 5}, "keyMetrics": {"placedABS": 918400.0, "confirmedABS": 7.5, "atc": 3}}}'
+    row = stage_key_metrics(spark.createDataFrame([(doc,)], "doc string").select(F.from_json("doc", DETAIL_SCHEMA).alias("data"))).first()
+    assert (row.session_id, row.placed_abs, row.confirmed_abs, row.atc) == (5, 918400.0, 7.5, 3)
