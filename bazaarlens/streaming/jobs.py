@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from bazaarlens.operators.dedup import latest_by, newest
 from bazaarlens.session import fresh_path
 
 
@@ -21,14 +23,15 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-def run_to_end(stream: DataFrame, name: str) -> DataFrame:
+def run_to_end(stream: DataFrame, name: str, target: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process all available input into a Parquet table and read it.
 
-    Checkpoint and table lie in the shared work folder, so a restarted driver or a lost
-    executor resumes from the last committed batch.
+    Give ``target`` and ``checkpoint``, both in a folder that the cluster shares, for a stream that goes on: a
+    later call with the same two resumes after the last committed batch and remembers its state. Without them
+    the call is a run of its own below the work folder.
     """
     spark = stream.sparkSession
-    out, state = fresh_path(spark, name), fresh_path(spark, f"{name}-state")
+    out, state = target or fresh_path(spark, name), checkpoint or fresh_path(spark, f"{name}-state")
     query = (
         stream.writeStream.format("parquet")
         .option("path", out)
@@ -41,6 +44,32 @@ def run_to_end(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_updates(
+    stream: DataFrame, keys: Sequence[str], name: str, target: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
+    """Process all available input of an aggregation; the newest row of every key, also of those still open.
+
+    Every batch writes the rows that it changed into a folder of its own, which a repeated batch overwrites.
+    ``target`` and ``checkpoint`` as in ``run_to_end``.
+    """
+    spark = stream.sparkSession
+    out, state = target or fresh_path(spark, name), checkpoint or fresh_path(spark, f"{name}-state")
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", state)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    return latest_by(spark.read.schema(schema).parquet(out), keys, newest("batch")).drop("batch")
+
+
 def tag_on_arrival(stream: DataFrame, tagger: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Apply a stateless tagger: the batch columns run on the stream unchanged."""
     return tagger(stream)
@@ -52,7 +81,10 @@ def ingest_once(stream: DataFrame, keys: Sequence[str], time_col: str, delay: st
 
 
 def minute_metrics(stream: DataFrame, time_col: str = "ts", value: str = "value", delay: str = "10 minutes") -> DataFrame:
-    """Events and value per minute and type; a minute is final once the watermark passes it."""
+    """Events and value per minute and type.
+
+    ``run_to_end`` gives the minutes that the watermark has passed, which are final; ``run_updates`` gives all.
+    """
     return (
         stream.withWatermark(time_col, delay)
         .groupBy(F.window(time_col, "1 minute").alias("w"), "event_type")
@@ -61,11 +93,16 @@ def minute_metrics(stream: DataFrame, time_col: str = "ts", value: str = "value"
     )
 
 
-def upsert_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], name: str) -> None:
-    """Run a batch function per micro-batch, for steps that need joins such as the cascade."""
+def upsert_batches(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], name: str, checkpoint: str | None = None
+) -> None:
+    """Run a batch function per micro-batch, for steps that need joins such as the cascade.
+
+    With a ``checkpoint`` a later call goes on after the last batch that ended.
+    """
     query = (
         stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", fresh_path(stream.sparkSession, f"{name}-state"))
+        .option("checkpointLocation", checkpoint or fresh_path(stream.sparkSession, f"{name}-state"))
         .trigger(availableNow=True)
         .start()
     )
