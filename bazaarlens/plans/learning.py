@@ -276,16 +276,23 @@ def src3_search_json(spark, sf):
 
 @query(
     "src4_concat_json",
-    """SELECT o_orderkey AS session_id, o_orderpriority AS title FROM orders UNION ALL SELECT -1 - o_orderkey, 'again' FROM orders""",
+    """SELECT o_orderkey AS session_id, 'x}{y "' || o_orderpriority || '" {"code": 1} {' AS title, o_orderkey AS inner_code FROM orders
+       UNION ALL SELECT -1 - o_orderkey, 'again', NULL FROM orders WHERE o_orderkey % 5 <> 0
+       UNION ALL SELECT NULL, NULL, NULL FROM orders WHERE o_orderkey % 5 = 0""",
 )
 def src4_concat_json(spark, sf):
-    """Documents written one after another without a separator, read back in splits."""
+    """Documents one after another: separators inside texts, nested envelopes, cut-off documents."""
     path = fresh_path(spark, "concat")
-    doc = F.to_json(F.struct(F.col("o_orderkey").alias("sessionId"), F.col("o_orderpriority").alias("title")))
-    again = F.to_json(F.struct((F.lit(-1) - F.col("o_orderkey")).alias("sessionId"), F.lit("again").alias("title")))
-    table(spark, sf, "orders").select(F.concat(doc, again).alias("value")).write.text(path)
-    docs = readers.read_concat_json(spark, path, "sessionId bigint, title string")
-    return docs.select(F.col("data.sessionId").alias("session_id"), F.col("data.title").alias("title"))
+    key = F.col("o_orderkey")
+    title = F.concat(F.lit('x}{y "'), "o_orderpriority", F.lit('" {"code": 1} {'))
+    inner = F.struct(F.struct(key.alias("code")).alias("inner"))
+    doc = F.to_json(F.struct(F.lit(0).alias("code"), key.alias("sessionId"), title.alias("title"), F.array(inner).alias("list")))
+    again = F.to_json(F.struct(F.lit(0).alias("code"), (F.lit(-1) - key).alias("sessionId"), F.lit("again").alias("title")))
+    # every fifth order's second document stops within a list; the next one follows at once
+    cut = F.when(key % 5 == 0, F.lit('{"code":0,"rows":[{"time":1},{"time"')).otherwise(again)
+    table(spark, sf, "orders").select(F.concat(cut, doc).alias("value")).write.text(path)
+    docs = readers.read_concat_json(spark, path, "sessionId bigint, title string, list array<struct<inner:struct<code:bigint>>>")
+    return docs.select(F.col("data.sessionId").alias("session_id"), F.col("data.title").alias("title"), F.get("data.list", 0)["inner"]["code"].alias("inner_code"))
 
 
 @query("src5_latest", "SELECT count(*) AS n_rows, max(event_id) AS last_id FROM events")

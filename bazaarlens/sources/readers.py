@@ -11,6 +11,7 @@ from bazaarlens.functions.columns import blank_to
 from bazaarlens.functions.rule_tables import Brand, Rule
 from bazaarlens.functions.text import sentence_case
 from bazaarlens.operators.dedup import first_by
+from bazaarlens.session import settle
 
 ITEM = "item_basic struct<itemid:bigint, shopid:bigint, name:string, brand:string, image:string, price:bigint, historical_sold:bigint>"
 SEARCH_SCHEMA = f"map<string, struct<items:array<struct<{ITEM.replace(' struct', ':struct', 1)}>>>>"
@@ -70,45 +71,111 @@ def read_lazada(spark: SparkSession, path: str) -> DataFrame:
     return lazada_items(spark.read.text(path, wholetext=True))
 
 
-def split_documents(texts: DataFrame, value: str = "value") -> DataFrame:
-    """Pieces cut at ``}{`` as whole documents again, and documents cut off in the middle apart.
+# a document begins with its envelope, which in a document's middle follows one of : , [
+_ENVELOPE = r'(?=\{"code")'
+_NEW_ENVELOPE = r'(?<![:,\[\s])\s*(?=\{"code")'
+# a text cannot hold a line end, but it can hold blanks
+_LINES = r"(?<=\})\s*\n\s*(?=\{)"
+_APART = r"(?<=\})[ \t]+(?=\{)"
 
-    A piece lost its outer brackets to the separator: an opening one goes in front and a
-    closing one behind; the parser ignores what follows a complete document.
+
+def _parses(doc: Column) -> Column:
+    """Is this JSON? What follows a complete document does not count."""
+    return F.try_parse_json(doc).isNotNull()
+
+
+def _closed(piece: Column) -> Column:
+    """A piece with the outer brackets that the separator took."""
+    return F.concat(F.when(piece.startswith("{"), piece).otherwise(F.concat(F.lit("{"), piece)), F.lit("}"))
+
+
+def _documents(closed: Column) -> Column:
+    """Documents of a piece, which may also stand apart; NULL where one is not whole."""
+
+    def on_line(line: Column) -> Column:
+        parts = F.split(line, _APART)
+        return F.when(F.forall(parts, _parses), parts).when(_parses(line), F.array(line))
+
+    return F.flatten(F.transform(F.split(closed, _LINES), on_line))
+
+
+def _cut_off(closed: Column) -> Column:
+    """Documents of a text that does not parse: a cut-off document runs straight into the next one's envelope.
+
+    Where it stops at a mark that an inner object may follow, the longest end that parses is the next document.
     """
-    text = F.trim(F.col(value))
-    closed = F.concat(F.when(text.startswith("{"), text).otherwise(F.concat(F.lit("{"), text)), F.lit("}"))
-    # documents may also stand on lines of their own; a truncated document runs straight into
-    # the envelope of the next one
-    parts = F.split(closed, r'(?<=\})\s+(?=\{)|(?<=.)(?=\{"code")')
-    return texts.filter(text != "").withColumn("_parts", parts).select(
-        *[c for c in texts.columns if c != value], F.posexplode("_parts").alias("_part", "doc")
-    )
+
+    def loose(part: Column) -> Column:
+        pieces = F.split(part, _ENVELOPE)
+        end = lambda i: F.array_join(F.slice(pieces, i, F.size(pieces)), "")
+        at = F.get(F.filter(F.sequence(F.lit(2), F.size(pieces)), lambda i: _parses(end(i))), 0)
+        two = F.when(F.size(pieces) > 1, F.when(at.isNotNull(), F.array(F.array_join(F.slice(pieces, 1, at - 1), ""), end(at))))
+        return F.when(_parses(part), F.array(part)).otherwise(F.coalesce(two, F.array(part)))
+
+    lines = F.transform(F.split(closed, _LINES), lambda d: F.when(_parses(d), F.array(d)).otherwise(F.split(d, _NEW_ENVELOPE)))
+    return F.filter(F.flatten(F.transform(F.flatten(lines), loose)), lambda d: d != "")
 
 
 def read_concat_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON documents written one after another, with their order number within the file.
 
-    ``}{`` is the record separator, so a large file is read in splits. Order numbers come from
-    the number of documents in the splits before; one window holds one split.
+    ``}{`` is the record separator, so a large file is read in splits. It also cuts texts that hold ``}{``: pieces that
+    do not parse are put together again while a quote is open. Only what still does not parse is taken for
+    cut-off documents. Order numbers come from the number of documents in the splits before; windows hold a split,
+    or the neighbouring pieces of a file that do not parse.
     """
-    raw = spark.read.text(path, lineSep="}{").select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+    text = F.trim(F.col("value"))
+    pieces = settle(
+        spark.read.text(path, lineSep="}{")
+        .select(
+            text.alias("value"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        .filter(F.col("value") != "")
+        .withColumn("_docs", _documents(_closed(F.col("value")))),
+        "pieces",
     )
-    docs = split_documents(raw)
+    whole = pieces.filter(F.col("_docs").isNotNull()).select("file", "_block", "_row", F.posexplode("_docs").alias("_part", "doc"))
+    docs = settle(whole.unionByName(_rejoined(pieces)), "documents")
     inside = F.row_number().over(Window.partitionBy("file", "_block").orderBy("_row", "_part"))
-    # one row per file split
-    before = docs.groupBy("file", "_block").agg(F.count("*").alias("_n"))
-    w = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = before.select("file", "_block", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
+    before = _earlier(docs.groupBy("file", "_block").agg(F.count("*").alias("_n")))
     return docs.withColumn("_in", inside).join(before, ["file", "_block"]).select(
         "file", (F.col("_before") + F.col("_in") - 1).alias("ordinal"), "doc", F.from_json("doc", schema).alias("data")
     )
 
 
+def _earlier(counts: DataFrame) -> DataFrame:
+    """``_n`` of the splits before, per file: one row per split."""
+    w = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("file", "_block", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+
+
+def _rejoined(pieces: DataFrame) -> DataFrame:
+    """Documents of the pieces that do not parse alone, at the place of their first piece."""
+    fine = F.col("_docs").isNotNull().cast("int")
+    earlier = Window.partitionBy("file", "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    base = _earlier(pieces.groupBy("file", "_block").agg(F.sum(fine).alias("_n")))
+    # neighbours have the same number of whole pieces before them
+    broken = (
+        pieces.withColumn("_run", F.coalesce(F.sum(fine).over(earlier), F.lit(0)))
+        .filter(F.col("_docs").isNull())
+        .join(base, ["file", "_block"])
+        .withColumn("_run", F.col("_run") + F.col("_before"))
+    )
+    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), r'[^"]', ""))
+    run = Window.partitionBy("file", "_run").orderBy("_block", "_row")
+    open_before = F.coalesce(F.sum(quotes).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1
+    grouped = broken.withColumn("_open", open_before).withColumn("_group", F.sum(F.when(F.col("_open"), 0).otherwise(1)).over(run))
+    place = F.struct("_block", "_row", "value")
+    joined = grouped.groupBy("file", "_run", "_group").agg(F.sort_array(F.collect_list(place)).alias("_all")).select(
+        "file", F.col("_all")[0]["_block"].alias("_block"), F.col("_all")[0]["_row"].alias("_row"),
+        _closed(F.array_join(F.col("_all")["value"], "}{")).alias("_text"),
+    )
+    return joined.select("file", "_block", "_row", F.posexplode(F.coalesce(_documents(F.col("_text")), _cut_off(F.col("_text")))).alias("_part", "doc"))
+
+
 def complete_rows(doc: Column | str, schema: str) -> Column:
     """The flat objects of a document's list that are complete, also when the document is cut off."""
     found = F.regexp_extract_all(doc if isinstance(doc, Column) else F.col(doc), F.lit(r"\{[^{}]*\}"), F.lit(0))

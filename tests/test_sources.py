@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from bazaarlens.operators import live, market
@@ -29,6 +31,33 @@ def test_documents_in_several_splits(spark, tmp_path):
     assert sorted((r.ordinal, r.n) for r in rows) == [(i, i) for i in range(3000)]
 
 
+@pytest.mark.parametrize("size", [60, 1000, 10**6])
+def test_separators_inside_texts(spark, tmp_path, size):
+    texts = ['x"}{"y', "}{", "a}{b}{c", 'nested {"code": 1}', "plain", "back\\slash\\"]
+    docs = [{"code": 0, "n": i, "t": texts[i % 6], "o": {"p": {"code": i}}, "l": [{"code": 1}, {"code": 2}]} for i in range(120)]
+    path = tmp_path / "q.json"
+    for between in ("", "\n"):
+        path.write_text(between.join(json.dumps(d) for d in docs), encoding="utf-8")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            got = readers.read_concat_json(spark, str(path), "n int, t string").select("ordinal", "data.n", "data.t").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert sorted(map(tuple, got)) == [(i, i, d["t"]) for i, d in enumerate(docs)]
+
+
+def test_cut_off_documents_beside_inner_envelopes(spark, tmp_path):
+    def doc(i):
+        return json.dumps({"code": 0, "n": i, "l": [{"code": 1}, {"code": 2}], "o": {"code": 3}, "t": 'a} {"b'})
+
+    for cut in ('{"code": 0, "n": -1, "l": [{"time": 1}, {"time"', '{"code": 0, "l": [', '{"code": 0, "o":', '{"code": 0, "l": [1,'):
+        path = tmp_path / "c.json"
+        path.write_text(doc(0) + doc(1) + cut + doc(3) + doc(4) + cut + doc(6) + doc(7), encoding="utf-8")
+        got = readers.read_concat_json(spark, str(path), "n int, t string").select("ordinal", "data.n", "data.t").collect()
+        rows = {r.ordinal: (r.n, r.t) for r in got}
+        assert sorted(rows) == list(range(8)) and all(rows[i] == (i, 'a} {"b') for i in (0, 1, 3, 4, 6, 7)), cut
+
+
 def test_truncated_document_keeps_complete_rows(spark, tmp_path):
     path = tmp_path / "c.json"
     path.write_text('{"code": 0, "data": [{"time": 60000, "views": 1}, {"time": 120000, "views": 2}, {"time": 180000, "viewers"{"code": 0, "data": [{"time": 60000, "views": 9}]}', encoding="utf-8")
