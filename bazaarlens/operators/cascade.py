@@ -25,15 +25,40 @@ def hashtag_terms(col_name: str = "hashtags", stop: Sequence[str] = STOP_TAGS) -
 
 
 def with_text_terms(
-    df: DataFrame, out: str, text: str = "description", longest: int = 3, stop: Sequence[str] = STOP_TAGS
+    df: DataFrame,
+    out: str,
+    text: str = "description",
+    longest: int = 3,
+    stop: Sequence[str] = STOP_TAGS,
+    keywords: str = "search_keywords",
 ) -> DataFrame:
-    """Add the runs of 1..longest words of the folded text, without generic words.
+    """Add the runs of 1..longest words of the folded text and of each search keyword, without generic words.
 
-    The words get a column of their own first: the runs name them several times, and one
-    projection would fold the text once per mention.
+    ``keywords`` is an array column and may be missing. A run never joins words of two keywords. The words get a
+    column of their own first: the runs name them several times, and one projection would fold the text once
+    per mention.
     """
     tokens = drop_stop_terms(words(fold(F.coalesce(F.col(text), F.lit("")))), stop)
-    return df.withColumn("_words", tokens).withColumn(out, F.array_distinct(ngrams("_words", longest))).drop("_words")
+    rows, runs = df.withColumn("_words", tokens), ngrams("_words", longest)
+    if keywords in df.columns:
+        folded = F.transform(_listed(keywords), lambda k: drop_stop_terms(words(fold(k)), stop))
+        rows = rows.withColumn("_searched", folded)
+        runs = F.concat(runs, F.flatten(F.transform("_searched", lambda w: ngrams(w, longest))))
+    return rows.withColumn(out, F.array_distinct(runs)).drop("_words", "_searched")
+
+
+def _listed(c: str) -> Column:
+    return F.filter(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: x.isNotNull())
+
+
+def concern_text(df: DataFrame, text: str = "description", hashtags: str = "hashtags", keywords: str = "search_keywords") -> Column:
+    """Folded description, hashtags and search keywords (as far as ``df`` has them), kept apart by a mark."""
+    parts = [fold(F.coalesce(F.col(text), F.lit("")))] if text in df.columns else []
+    if hashtags in df.columns:
+        parts.append(F.transform(_listed(hashtags), lambda h: fold_hashtag(h)))
+    if keywords in df.columns:
+        parts.append(F.transform(_listed(keywords), lambda k: fold(k)))
+    return F.concat_ws(" . ", *parts)
 
 
 def dictionary_vote(df: DataFrame, key: str, terms: str, dictionary: DataFrame) -> DataFrame:
@@ -105,41 +130,33 @@ def tag_category_cascade(
     min_videos: int = 5,
     min_share: float = 0.6,
     key: str = "post_base_id",
+    stop: Sequence[str] = STOP_TAGS,
 ) -> DataFrame:
-    """Product link, else hashtags, else description words, else creator prior, else Unknown.
+    """Product link, else hashtags, else words of description and search keywords, else creator prior, else Unknown.
 
-    A tier only sees the posts that the tiers above left open. The result of the first three
-    tiers is written once to the work folder, because the prior reads it again.
+    A tier only sees the posts that the tiers above left open. Between tiers only the key and its tag are written; the
+    posts join once, at the end. The stop list and dictionaries may come from versioned files (``readers``).
     """
+    tag = ["l1", "l2", "source", "confidence"]
     by_link = product_link_category(posts, products, categories, key).select(
         key, F.col("category_l1").alias("l1"), F.coalesce("category_l2", F.lit("Unknown")).alias("l2"), F.lit("product_link").alias("source"), _score("product_link").alias("confidence")
     )
-    base = settle(posts.join(by_link, key, "left"), "tier-0")
+    tier_0 = settle(by_link, "tier-0")
 
-    def votes(rows: DataFrame, source: str, entries: DataFrame, n: int) -> DataFrame:
+    def votes(rows: DataFrame, source: str, entries: DataFrame) -> DataFrame:
         return dictionary_vote(rows, key, "_terms", entries).select(
-            key,
-            F.col("category_l1").alias(f"_l1_{n}"),
-            F.col("category_l2").alias(f"_l2_{n}"),
-            F.lit(source).alias(f"_source_{n}"),
-            _score(source, F.col("tied")).alias(f"_confidence_{n}"),
+            key, F.col("category_l1").alias("l1"), F.col("category_l2").alias("l2"), F.lit(source).alias("source"), _score(source, F.col("tied")).alias("confidence")
         )
 
-    no_link = base.filter(F.col("l1").isNull())
-    tier_1 = settle(votes(no_link.withColumn("_terms", hashtag_terms()), "hashtag", hashtag_dict, 1), "tier-1")
-    no_tag = no_link.join(tier_1.select(key), key, "left_anti")
-    tier_2 = votes(with_text_terms(no_tag, "_terms", longest=longest), "keyword", keyword_dict, 2)
-    step = (
-        base.join(tier_1, key, "left")
-        .join(tier_2, key, "left")
-        .select(
-            *posts.columns,
-            *[F.coalesce(c, f"_{c}_1", f"_{c}_2").alias(c) for c in ("l1", "l2", "source", "confidence")],
-        )
-    )
-    step = settle(step, "tier-2")
-    prior = creator_prior(step.select("channel_base_id", F.col("l1").alias("category_l1")), min_videos, min_share)
-    done = step.join(prior, "channel_base_id", "left")
+    texts = [c for c in ("description", "search_keywords") if c in posts.columns]
+    no_link = posts.select(key, "hashtags", *texts).join(tier_0.select(key), key, "left_anti")
+    tier_1 = settle(votes(no_link.select(key, hashtag_terms(stop=stop).alias("_terms")), "hashtag", hashtag_dict), "tier-1")
+    no_tag = no_link.select(key, *texts).join(tier_1.select(key), key, "left_anti")
+    tier_2 = votes(with_text_terms(no_tag, "_terms", longest=longest, stop=stop), "keyword", keyword_dict)
+    tags = settle(tier_0.unionByName(tier_1).unionByName(tier_2), "tiers")
+    told = posts.select(key, "channel_base_id").join(tags.select(key, F.col("l1").alias("category_l1")), key)
+    prior = creator_prior(told, min_videos, min_share)
+    done = posts.join(tags.select(key, *tag), key, "left").join(prior, "channel_base_id", "left")
     use_prior = F.col("l1").isNull() & F.col("prior_l1").isNotNull()
     return done.select(
         *posts.columns,

@@ -591,11 +591,12 @@ CONCERN_SCOPE = {"ASIA": ["hardware", "round"], "EUROPE": ["hot", "hardware"]}
 
 
 def _with_concerns(df):
-    return cas.tag_concerns(df, fold("description"), CONCERN_TERMS, CONCERN_SCOPE)
+    return cas.tag_concerns(df, cas.concern_text(df), CONCERN_TERMS, CONCERN_SCOPE)
 
 
 def _concern(names) -> str:
-    padded = "(' ' || " + FOLD_SQL.format(x="description") + " || ' ')"
+    tags = f"coalesce(' . ' || array_to_string(list_transform(hashtags, lambda h: {HASH_TERM}), ' . '), '')"
+    padded = "(' ' || " + FOLD_SQL.format(x="description") + f" || {tags} || ' ')"
     return _list([(n, " OR ".join(f"contains({padded}, ' {t} ')" for t in CONCERN_TERMS[n])) for n in names])
 
 

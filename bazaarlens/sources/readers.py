@@ -222,6 +222,27 @@ def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return doc.select("version", F.inline("entries"))
 
 
+def _one_document(spark: SparkSession, path: str, schema: str):
+    """The only document of a configuration file, which people keep by hand and which is small."""
+    row = spark.read.schema(schema).json(path, multiLine=True).first()
+    if row is None or row["version"] is None:
+        raise ValueError(f"{path} is not a versioned configuration")
+    return row
+
+
+def load_concerns(spark: SparkSession, path: str) -> tuple[str, dict[str, list[str]], dict[str, list[str]]]:
+    """Version, terms by concern, and concerns by category, of a concern dictionary."""
+    schema = "version string, scope map<string, array<string>>, concerns map<string, struct<terms: array<string>>>"
+    row = _one_document(spark, path, schema)
+    return row["version"], {k: list(v["terms"]) for k, v in (row["concerns"] or {}).items()}, {k: list(v) for k, v in (row["scope"] or {}).items()}
+
+
+def load_stop_list(spark: SparkSession, path: str) -> tuple[str, list[str]]:
+    """Version and generic terms of a stop list."""
+    row = _one_document(spark, path, "version string, terms array<string>")
+    return row["version"], list(row["terms"] or [])
+
+
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A small table written in the program."""
     return spark.createDataFrame(list(rows), schema)

@@ -284,3 +284,37 @@ def test_basket_sizes_may_have_decimals(spark):
     doc = '{"code": 0, "data": {"liveInfo": {"sessionId": 5}, "keyMetrics": {"placedABS": 918400.0, "confirmedABS": 7.5, "atc": 3}}}'
     row = stage_key_metrics(spark.createDataFrame([(doc,)], "doc string").select(F.from_json("doc", DETAIL_SCHEMA).alias("data"))).first()
     assert (row.session_id, row.placed_abs, row.confirmed_abs, row.atc) == (5, 918400.0, 7.5, 3)
+
+
+def test_search_keywords_count_for_categories_and_concerns(spark, tmp_path):
+    import json
+
+    from bazaarlens.sources import readers
+
+    (tmp_path / "concern_dict.json").write_text(json.dumps({"version": "v7", "scope": {"Beauty": ["acne"]}, "concerns": {"acne": {"terms": ["tri mun", "mun"]}}}))
+    (tmp_path / "stoplist.json").write_text(json.dumps({"version": "v7", "terms": ["viral"]}))
+    version, terms, scope = readers.load_concerns(spark, str(tmp_path / "concern_dict.json"))
+    stop_version, stop = readers.load_stop_list(spark, str(tmp_path / "stoplist.json"))
+    assert (version, stop_version, stop, scope) == ("v7", "v7", ["viral"], {"Beauty": ["acne"]})
+    posts = spark.createDataFrame(
+        [
+            (1, 9, [], None, ["Trị Mụn", None], []),
+            (2, 9, ["#Mun"], "serum", None, []),
+            (3, 8, ["viral"], "viral", ["tri", "mun hot"], []),
+            (4, 8, None, None, None, []),
+        ],
+        "post_base_id long, channel_base_id long, hashtags array<string>, description string, search_keywords array<string>, list_product_base_id array<long>",
+    )
+    products = spark.createDataFrame([], "product_base_id long, categories__id_1 long, category_l2 string")
+    categories = spark.createDataFrame([], "category_id string, category_name string")
+    entry = "term string, category_l1 string, category_l2 string, weight double"
+    keyword = spark.createDataFrame([("tri mun", "Beauty", "Skin", 1.0), ("serum", "Beauty", "Care", 0.9), ("viral", "Spam", "S", 5.0)], entry)
+    got = cascade.tag_category_cascade(posts, products, categories, spark.createDataFrame([("viral", "Spam", "S", 5.0)], entry), keyword, version, "2026-06-01", stop=stop)
+    got = cascade.tag_concerns(got, cascade.concern_text(got), terms, scope)
+    rows = {r.post_base_id: (r.category_l1, r.category_l2, r.category_source, r.concerns) for r in got.collect()}
+    assert rows == {
+        1: ("Beauty", "Skin", "keyword", ["acne"]),
+        2: ("Beauty", "Care", "keyword", ["acne"]),
+        3: ("Unknown", "Unknown", "unknown", []),
+        4: ("Unknown", "Unknown", "unknown", []),
+    }
