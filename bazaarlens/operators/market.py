@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import cascade, ratio
+from bazaarlens.session import settle
 
 # Brand texts that stand for no brand.
 FUZZY_BRANDS = ["Undefined", "No Brand", "Unknown", "Other", ""]
@@ -40,6 +41,42 @@ def build_period(
     return True
 
 
+def build_periods(
+    df: DataFrame, out: str, period: Column, build: Callable[[DataFrame], DataFrame], periods: Sequence[str], resume: bool = True
+) -> list[str]:
+    """Write the partitions of many periods in one pass; with ``resume`` finished ones are left alone.
+
+    ``build`` aggregates a frame that has the column ``period`` and must keep it. Returns the periods that were
+    written. A marker beside the partitions says that a period is finished, also if it has no rows.
+    """
+    spark = df.sparkSession
+    todo = [p for p in periods if not (resume and _finished(spark, f"{out}/_done/{p}"))]
+    if todo:
+        rows = build(df.withColumn("period", period).filter(F.col("period").isin(todo)))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(out)
+        for p in todo:
+            _mark(spark, f"{out}/_done/{p}")
+    return todo
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
+def in_months(df: DataFrame, months: Sequence[str]) -> DataFrame:
+    """Rows of the months (MM/yyyy). Where ``df`` has the raw date as ``period``, the scan is given its ranges."""
+    if "period" not in df.columns:
+        return df.filter(F.col("time").isin(list(months)))
+    kind = df.schema["period"].dataType
+    day, hit = F.col("period"), F.lit(False)
+    for m in months:
+        month, year = map(int, m.split("/"))
+        first, end = f"{year}-{month:02d}-01", f"{year + month // 12}-{month % 12 + 1:02d}-01"
+        hit = hit | ((day >= F.lit(first).cast(kind)) & (day < F.lit(end).cast(kind)))
+    return df.filter(hit)
+
+
 def market_share(df: DataFrame, within: Sequence[str], dims: Sequence[str], value: str = "sales") -> DataFrame:
     """Sum per ``within`` + ``dims`` and its share of the ``within`` total.
 
@@ -62,7 +99,7 @@ def top_sellers(df: DataFrame, within: Sequence[str], dim: str, n: int = 1, valu
 
 
 def _two_months(df: DataFrame, dim: str, new: str, prev: str) -> DataFrame:
-    pivot = df.filter(F.col("time").isin(prev, new)).groupBy(dim).pivot("time", [prev, new]).agg(F.sum("sales"))
+    pivot = in_months(df, [prev, new]).groupBy(dim).pivot("time", [prev, new]).agg(F.sum("sales"))
     return pivot.select(
         dim,
         F.coalesce(F.col(f"`{prev}`").cast("double"), F.lit(0.0)).alias("prev"),
@@ -80,7 +117,7 @@ def undefined_spike(df: DataFrame, new: str, prev: str, share_limit: float = 0.1
         cond = F.col("time") == month
         return F.coalesce(F.sum(F.when(cond & fuzzy() if only_fuzzy else cond, F.col("sales"))).cast("double"), F.lit(0.0))
 
-    sums = df.filter(F.col("time").isin(new, prev)).agg(
+    sums = in_months(df, [new, prev]).agg(
         total(new, True).alias("undefined_new"),
         total(prev, True).alias("undefined_prev"),
         total(new, False).alias("total_new"),
@@ -122,12 +159,19 @@ def brand_drift(
 
 def platform_mom(df: DataFrame, new: str, prev: str) -> DataFrame:
     """Both months per platform and for the whole market."""
-    whole = _two_months(df.withColumn("platform", F.lit("ALL")), "platform", new, prev)
-    return _two_months(df, "platform", new, prev).unionByName(whole)
+    both = F.explode(F.array(F.col("platform"), F.lit("ALL")))
+    return _two_months(df.withColumn("platform", both), "platform", new, prev)
 
 
 def monitor_summary(df: DataFrame, new: str, prev: str, **limits) -> DataFrame:
-    """One row per issue of the month; no rows means the report can go out."""
+    """One row per issue of the month; no rows means the report can go out.
+
+    The market is read once: all checks use its sums by brand and month, which are written in between.
+    """
+    keys = ["brand", "time", *(["period"] if "period" in df.columns else [])]
+    if "period" in keys:  # any day of the month stands for it
+        df = df.withColumn("period", F.trunc("period", "MM").cast(df.schema["period"].dataType))
+    df = settle(df.groupBy(*keys).agg(F.sum("sales").alias("sales")), "months")
     spike = undefined_spike(df, new, prev).filter(F.col("status") != "OK")
     drift = brand_drift(df, new, prev, **limits).filter(F.col("status") != "OK")
     return (

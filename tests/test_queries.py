@@ -44,5 +44,11 @@ def test_no_pairwise_joins(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["mkt2_merge", "qc1_drift", "mon1_undefined", "mon3_drift", "mon4_platform"])
+def test_market_periods_reach_the_scan(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -133,3 +133,18 @@ def test_serving_partitions(spark, tmp_path):
     sinks.write_serving(sinks.attach_tags(facts, tags), str(tmp_path / "s"))
     got = {r.post_base_id: (r.category_l1, r.category_confidence) for r in spark.read.parquet(str(tmp_path / "s")).collect()}
     assert got == {1: ("Beauty", 0.8), 2: ("Unknown", 0.0)}
+
+
+def test_periods_in_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([(2001, 1), (2001, 2), (2002, 5), (2003, 7)], "y int, v int")
+    built = []
+
+    def build(rows):
+        built.append(1)
+        return rows.groupBy("period").agg(F.sum("v").alias("v"))
+
+    out, year = str(tmp_path / "p"), F.col("y").cast("string")
+    assert market.build_periods(df, out, year, build, ["2001", "2002"]) == ["2001", "2002"]
+    assert market.build_periods(df, out, year, build, ["2001", "2002", "2003", "2004"]) == ["2003", "2004"]
+    assert market.build_periods(df, out, year, build, ["2003", "2004"]) == [] and len(built) == 2
+    assert sorted((r.period, r.v) for r in spark.read.parquet(out).collect()) == [(2001, 3), (2002, 5), (2003, 7)]
