@@ -101,25 +101,28 @@ def train_classifier(
     return model.fit(data)
 
 
+def topk_labels(df: DataFrame, labels: DataFrame, k: int, probability: str = "probability") -> DataFrame:
+    """The k most probable labels per row of an array of probabilities, with scores rounded to four digits.
+
+    Ties go to the smaller label id. ``labels`` has one row per class of a model, so it is a literal here.
+    """
+    names = F.create_map(*[F.lit(x) for r in labels.collect() for x in (int(r["label_id"]), str(r["label"]))])
+    pairs = F.transform(probability, lambda p, i: F.struct((-p).alias("minus"), i.cast("int").alias("label_id")))
+    top = F.slice(F.array_sort(pairs), 1, k)
+    found = df.withColumn("_top", top)
+    item = [F.get(F.col("_top"), F.lit(i)) for i in range(k)]
+    out = {}
+    for i, x in enumerate(item, 1):
+        out[f"pred_{i}_label"] = F.coalesce(F.try_element_at(names, x["label_id"]), F.lit("unknown"))
+        out[f"pred_{i}_score"] = F.bround(-x["minus"], 4)
+    return found.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+
+
 def predict_topk(model, df: DataFrame, labels: DataFrame, k: int = 2, vector: str = "embedding") -> DataFrame:
-    """The k most probable labels per row with scores rounded to four digits."""
+    """The k most probable labels per row by a model."""
     scored = model.transform(df.withColumn("features", array_to_vector(F.col(vector))))
-    pairs = F.transform(
-        vector_to_array("probability"), lambda p, i: F.struct((-p).alias("minus"), i.cast("int").alias("label_id"))
-    )
-    top = scored.select(*df.columns, F.slice(F.array_sort(pairs), 1, k).alias("_top"))
-    out = top
-    for i in range(1, k + 1):
-        item = F.get(F.col("_top"), F.lit(i - 1))
-        names = labels.select(F.col("label_id").alias("_id"), F.col("label").cast("string").alias("_name"))
-        out = (
-            out.withColumn("_id", item["label_id"])
-            .join(names, "_id", "left")
-            .withColumn(f"pred_{i}_label", F.coalesce("_name", F.lit("unknown")))
-            .withColumn(f"pred_{i}_score", F.bround(-item["minus"], 4))
-            .drop("_id", "_name")
-        )
-    return out.drop("_top")
+    chances = scored.select(*df.columns, vector_to_array("probability").alias("_chances"))
+    return topk_labels(chances, labels, k, "_chances").drop("_chances")
 
 
 def confusion(df: DataFrame, truth: str, guess: str) -> DataFrame:

@@ -182,6 +182,23 @@ def ml8_topk(spark, sf):
     return ml.predict_topk(model, rest, labels, 3).drop("embedding")
 
 
+@query(
+    "ml8_topk_given",
+    f"""WITH p AS (SELECT vec_id, [round(abs(embedding[i])::DOUBLE, 1) for i in range(1, 7)] AS chances FROM embeddings),
+       u AS (SELECT vec_id, unnest(chances) AS p, generate_subscripts(chances, 1) - 1 AS id FROM p),
+       o AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, id) AS n FROM u)
+       SELECT vec_id, max(CASE WHEN n = 1 THEN CASE id WHEN 5 THEN 'unknown' ELSE 'class ' || id END END) AS pred_1_label, max(CASE WHEN n = 1 THEN {r('p', 4)} END) AS pred_1_score,
+         max(CASE WHEN n = 2 THEN CASE id WHEN 5 THEN 'unknown' ELSE 'class ' || id END END) AS pred_2_label, max(CASE WHEN n = 2 THEN {r('p', 4)} END) AS pred_2_score
+       FROM o GROUP BY vec_id""",
+)
+def ml8_topk_given(spark, sf):
+    """Probabilities with many ties, and a class without a name."""
+    chances = F.transform(F.slice("embedding", 1, 6), lambda x: F.round(F.abs(x).cast("double"), 1))
+    rows = table(spark, sf, "embeddings").select("vec_id", chances.alias("chances"))
+    labels = spark.createDataFrame([(i, f"class {i}") for i in range(5)], "label_id int, label string")
+    return ml.topk_labels(rows, labels, 2, "chances").drop("chances")
+
+
 METRICS = [
     ("pairs", "SELECT lang AS truth, CASE WHEN doc_id % 4 = 0 THEN 'en' WHEN doc_id % 9 = 0 THEN 'xx' ELSE lang END AS guess FROM documents"),
     ("classes", "SELECT truth AS label FROM pairs UNION SELECT guess FROM pairs"),
