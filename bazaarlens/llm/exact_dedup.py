@@ -71,10 +71,13 @@ def duplicates(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """The rows of ``docs`` that ``duplicates`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``duplicates`` keeps, with all their columns.
+
+    The texts are shuffled once, to where the dropped ids are, at any size: neither side is broadcast or sorted.
+    """
     gone = settle(
         duplicates(docs, support).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), "text_sha256"),
         "dropped",
-    ).distinct()
+    ).distinct().hint("shuffle_hash")
     digest = text_digest(docs["text"])
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (digest == gone["text_sha256"]), "left_anti")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bazaarlens.llm.tokens import segments
+from bazaarlens.llm.tokens import release, segments
 
 UNKNOWN = "und"
 PER_LANGUAGE = 400
@@ -35,9 +35,9 @@ WORD_CHARS = 64
 #: Words of the lexicon of each language.
 LEXICON = 4000
 #: Scored words that a worker keeps.
-STORE_WORDS = 400_000
+STORE_WORDS = 200_000
 #: Words that are labelled at once.
-POOL_WORDS = 400_000
+POOL_WORDS = 150_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _BEGIN, _END = "\x02", "\x03"
@@ -348,6 +348,7 @@ def predict_languages(docs: DataFrame, field: Field | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         labeller = Labeller(field)
         for batch in batches:
             doc_id, held, text = batch.columns
@@ -370,6 +371,7 @@ def keep_languages(docs: DataFrame, field: Field | None, least: float = 0.5) ->
 
     @F.arrow_udf("boolean")
     def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         labeller = Labeller(field)
         for text in texts:
             found = [(lang != UNKNOWN and score >= least) for some in _label(text, labeller) for lang, score in zip(*some, strict=True)]

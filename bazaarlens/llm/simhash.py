@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import components
+from bazaarlens.llm.tokens import release
 from bazaarlens.session import settle
 
 SHINGLE = 3
@@ -191,6 +192,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             doc_id, text = batch.columns
             fps = np.array([fingerprint(t.as_py() or "", shingle) for t in text], np.uint64)
@@ -217,5 +219,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     gone = settle(
         near_duplicates(docs, shingle, radius).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")),
         "near-dropped",
-    ).distinct()
+    ).distinct().hint("shuffle_hash")
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 
 #: Entries of each of the two generations of a worker's store, about 250 bytes each.
-STORE_ENTRIES = 600_000
+STORE_ENTRIES = 450_000
 #: Longer chunks are encoded each time.
 STORE_CHARS = 48
 #: Characters that are looked up at once; longer texts are cut at a blank between words.
@@ -126,10 +126,16 @@ class WordStore:
 
 
 def store(path: str, kind: str) -> WordStore:
-    """The store of this Python worker; it lives as long as the worker."""
+    """The store of this Python worker; it lives until the worker turns to another operator."""
     if (path, kind) not in _LOADED:
+        release()
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark shares out the cores
         _LOADED[path, kind] = WordStore(path, kind)
     return _LOADED[path, kind]
+
+
+def release() -> None:
+    """Give the store back: workers are used again for other operators, which need the memory."""
+    _LOADED.clear()
