@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaarlens.llm.exact_dedup import drop_duplicates
 from bazaarlens.llm.language_crf import keep_languages, train
 from bazaarlens.llm.packing import pack
+from bazaarlens.llm.registry import shipped
 from bazaarlens.llm.simhash import drop_near_duplicates
 from bazaarlens.session import settle
 
@@ -19,21 +20,25 @@ from bazaarlens.session import settle
 LEAST_SCORE = 0.5
 
 
+@shipped
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without a language of at least ``LEAST_SCORE``, go."""
     return keep_languages(docs, train(docs), LEAST_SCORE).select(*docs.columns)
 
 
+@shipped
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return drop_duplicates(docs).select(*docs.columns)
 
 
+@shipped
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of close fingerprints (3-word shingles, 2 bits) stays."""
     return drop_near_duplicates(docs, shingle=3, radius=2).select(*docs.columns)
 
 
+@shipped
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 tokens, every window mixed from the sources like the whole."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
