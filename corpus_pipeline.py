@@ -17,7 +17,7 @@ from bazaarlens.llm.simhash import drop_near_duplicates
 from bazaarlens.session import settle
 
 #: Mean probability of the language below which a document is rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.35
 
 
 @shipped

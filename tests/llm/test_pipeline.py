@@ -35,7 +35,7 @@ def test_stages(spark, tmp_path):
         new = rows(got)
         assert all(new[i] == old[i] for i in new) and len(new) == got.count()
         if name == "language_id":
-            want = {i for i, r in old.items() if (p := labeller.predict([r.text or ""])[0])[0] != "und" and p[1] >= 0.5}
+            want = {i for i, r in old.items() if (p := labeller.predict([r.text or ""])[0])[0] != "und" and p[1] >= corpus_pipeline.LEAST_SCORE}
             assert not want & {9001, 9002, 9003} and len(want) >= 0.98 * len(old)
         elif name == "exact_dedup":
             best = {}
