@@ -9,12 +9,14 @@ blanks or control characters skip the store and go through the library whole.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
 #: Entries of each of the two generations of a worker's store, about 250 bytes each.
-STORE_ENTRIES = 450_000
+STORE_ENTRIES = 700_000
 #: Longer chunks are encoded each time.
 STORE_CHARS = 48
 #: Characters that are looked up at once; longer texts are cut at a blank between words.
@@ -113,7 +115,12 @@ class WordStore:
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        ids = [array(kind, e.ids) for e in found]
+        if sys.byteorder == "big":
+            for x in ids:
+                x.byteswap()
+        return [x.tobytes() for x in ids]
 
     def encode(self, text: str) -> np.ndarray:
         if odd(text):
