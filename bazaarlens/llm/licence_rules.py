@@ -1,20 +1,24 @@
 """Licences of texts by sentences: normalised sentences get identifiers, and ordered rules match their sequences.
 
-All in SQL functions: a text is split into sentences, each is looked up in a map of literals, and the rules, longest
-first, take their sequences out of what is left. Texts without a known sentence stop after the lookup.
+All in SQL functions: a text is brought to words and breaks, one pattern finds the known sentences between breaks, and
+the rules, longest first, take their sequences out of what is left. Texts without a known sentence stop after the search.
+
+A line break is soft: a known sentence may begin or end at it, and may also run over it, as wrapped texts do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Known sentences, normalised: identifier by text.
+#: Known sentences, normalised: identifier by text. Behind a star at the begin, other words of the sentence may stand first.
 SENTENCES = {
     "released under the mit license": "mit_name",
     "licensed under the mit license": "mit_name",
+    "this project is licensed under the mit license": "mit_name",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit_grant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit_notice",
     "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as_is_software",
@@ -23,19 +27,30 @@ SENTENCES = {
     "you may not use this file except in compliance with the license": "apache_compliance",
     "you may obtain a copy of the license at": "apache_copy",
     "http www apache org licenses license 2 0": "apache_link",
+    "https www apache org licenses license 2 0": "apache_link",
     "this work is licensed under the gnu general public license version 3": "gpl3_name",
     "licensed under the gnu general public license version 3": "gpl3_name",
     "this program is free software": "gpl_free",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl_redistribute",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2_redistribute",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3_redistribute",
     "either version 2 of the license or at your option any later version": "gpl2_or_later",
     "either version 3 of the license or at your option any later version": "gpl3_or_later",
     "licensed under cc by nc 4 0": "ccbync4_name",
     "licensed under cc by 4 0": "ccby4_name",
     "licensed under cc by sa 4 0": "ccbysa4_name",
+    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "ccbync4_name",
+    "this work is licensed under a creative commons attribution 4 0 international license": "ccby4_name",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "ccbysa4_name",
+    "this work is licensed under the creative commons attribution noncommercial 4 0 international license": "ccbync4_name",
+    "this work is licensed under the creative commons attribution 4 0 international license": "ccby4_name",
+    "this work is licensed under the creative commons attribution sharealike 4 0 international license": "ccbysa4_name",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd_grant",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd_source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd_binary",
+    "* nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd_endorse",
     "this software is provided by the copyright holders and contributors as is": "bsd_as_is",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd_as_is",
     "all rights reserved": "reserved",
 }
 
@@ -45,6 +60,13 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache_name", "apache_compliance", "apache_copy", "apache_link")),
     ("GPL-3.0-or-later", ("gpl_free", "gpl_redistribute", "gpl3_or_later")),
     ("GPL-2.0-or-later", ("gpl_free", "gpl_redistribute", "gpl2_or_later")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl3_redistribute")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl2_redistribute")),
+    ("GPL-3.0-or-later", ("gpl_redistribute", "gpl3_or_later")),
+    ("GPL-2.0-or-later", ("gpl_redistribute", "gpl2_or_later")),
+    ("GPL-3.0-or-later", ("gpl3_redistribute",)),
+    ("GPL-2.0-or-later", ("gpl2_redistribute",)),
+    ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_as_is")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is")),
     ("Apache-2.0", ("apache_name", "apache_compliance")),
     ("MIT", ("mit_grant", "mit_notice")),
@@ -56,15 +78,38 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("CC-BY-4.0", ("ccby4_name",)),
     ("Proprietary", ("reserved",)),
 ]
+# reserved rights right before a licence are of its copyright line
+RULES[:-1] = [(name, x) for name, ids in RULES[:-1] for x in (("reserved", *ids), ids)]
 
-#: A sentence ends at a line, or at a mark before a blank.
+#: Ends of unwrapped sentences, for the check SQL: a line, or a mark before a blank.
 ENDS = r"[.;:!?][ \t\r\n]+|[\r\n]+"
-#: What does not count in a sentence.
+#: What does not count in a sentence, for the check SQL.
 MARKS = r"[^a-z0-9]+"
+#: What lines begin with in comments and lists.
+LEADERS = r"(^|\n)[^a-z0-9\n]*(?:(?:dnl|rem)\b[^a-z0-9\n]*)?(?:[0-9a-z]{1,2}\)[ \t]+)?"
+#: Ends that no sentence runs over become this, which is not in lower case; others stay line breaks.
+HARD = "A"
+
+
+def _words(text: Column) -> Column:
+    """Words with one blank, line break or hard end between them."""
+    lines = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), LEADERS, "$1")
+    ends = F.regexp_replace(lines, r"[.;:!?][ \t\n]|\n\n", HARD)
+    blanks = F.trim(F.regexp_replace(ends, rf"[^a-z0-9{HARD}\n]+", " "))
+    return F.regexp_replace(F.regexp_replace(blanks, rf"[ \n]*{HARD}[ \n{HARD}]*", HARD), r" ?\n[ \n]*", "\n")
 
 
-def _normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), MARKS, " "))
+def _pattern(sentences: Collection[str]) -> str:
+    """A break, then one of the sentences, longest first, as group 1, up to a break."""
+
+    def either(some: list[str]) -> str:
+        return "|".join(x.replace(" ", r"[ \n]") for x in sorted(some, key=lambda x: (-len(x), x))) or "(?!)"
+
+    whole = [re.escape(s).replace(r"\ ", " ") for s in sentences if not s.startswith("* ")]
+    tails = [re.escape(s[2:]).replace(r"\ ", " ") for s in sentences if s.startswith("* ")]
+    # lookaheads, so that both kinds can share group 1
+    before = rf"(?:(?=(?:{either(whole)})(?:[{HARD}\n]|\z))|(?:[a-z0-9]+[ \n]){{1,40}}?(?=(?:{either(tails)})(?:[{HARD}\n]|\z)))"
+    return rf"(?:^|[{HARD}\n]){before}({either(whole + tails)})(?=[{HARD}\n]|\z)"
 
 
 def _sequence(ids: Sequence[str]) -> str:
@@ -79,14 +124,13 @@ def licences(
     ``sentence_ids`` are the identifiers of the known sentences in the text's order, ``licences`` those of the rules
     that matched, in rule order and each once, ``unmatched`` the identifiers that no rule took; all joined by commas and
     empty if there are none. Other sentences do not interrupt a sequence. A rule takes all its occurrences, so later
-    (shorter) rules only see what is left. NULL texts are empty; rows are independent, so repeated rows give repeated
+    (shorter) rules only see what is left. Sentences may be
+    wrapped, and stand in comments; blank lines and marks before a blank end them. NULL texts are empty; rows are independent, so repeated rows give repeated
     results; an empty table gives no rows; other columns, whatever their names, are not read.
     """
-    known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    text = F.coalesce(docs["text"], F.lit(""))
-    ids = F.filter(
-        F.transform(F.split(text, ENDS), lambda s: F.try_element_at(known, _normal(s))), lambda i: i.isNotNull()
-    )
+    known = F.create_map(*[F.lit(x.removeprefix("* ")) for pair in sentences.items() for x in pair])
+    found = F.regexp_extract_all(_words(F.coalesce(docs["text"], F.lit(""))), F.lit(_pattern(sentences)), 1)
+    ids = F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
     steps = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_sequence(ids_)).alias("ids")) for name, ids_ in rules])
     start = F.struct(F.col("all").alias("rest"), F.array().cast("array<string>").alias("names"))
     # what a rule took leaves a bar, so that no sequence is put together across it

@@ -166,6 +166,90 @@ def test_licences_of_odd_rows(spark):
     assert licences(docs.limit(0)).count() == 0
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 A. Body. All rights reserved.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law""",
+    "GPL-3.0-or-later": """Foo is made of words
+
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.""",
+    "BSD-2-Clause": """Copyright (c) 2020, A Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL""",
+    "GPL-3.0-only": "This work is licensed under the GNU\nGeneral Public License, version 3.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution\n4.0 International License.",
+    "Proprietary": "Copyright 2020 A Body\nAll rights\nreserved.",
+}
+WRAPPED["BSD-3-Clause"] = WRAPPED["BSD-2-Clause"].replace("THIS SOFTWARE IS", """3. Neither the name of A Body nor the names of its contributors may be used to
+   endorse or promote products derived from this software without specific
+   prior written permission.
+
+THIS SOFTWARE IS""")
+
+
+@pytest.mark.parametrize("begin,leader,end", [("", "", ""), ("/*\n", " * ", "\n */"), ("", "# ", ""), ("", ";; ", ""), ("x = 1\r\n", "// ", ""), ("dnl\n", "dnl ", "")])
+def test_wrapped_licences(spark, begin, leader, end):
+    rows = [(name, begin + "\n".join(leader + line for line in text.split("\n")).replace("\n", "\r\n" if "\r" in begin else "\n") + end) for name, text in WRAPPED.items()]
+    rows += [(f"{name} ", "some words without an end |\n" + text + "\nmore words") for name, text in rows]
+    docs = spark.createDataFrame(list(enumerate(t for _, t in rows)), "doc_id long, text string")
+    got = {rows[r.doc_id][0]: (r.licences, r.unmatched) for r in licences(docs).collect()}
+    assert got == {name: (name.strip(), "") for name, _ in rows}
+
+
+def test_sentences_end_at_marks_and_blank_lines(spark):
+    texts = ["Released under.\nThe MIT License", "Released\n\nunder the MIT License", "# Released\n#\n# under the MIT License", "not released under the MIT License"]
+    texts += ["é。" * 300_000 + "a", "a\n" * 300_000, "; " * 300_000, "a " * 300_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.sentence_ids, r.licences) for r in licences(docs).collect()} == {("", "")}
+
+
 # preferences
 
 
