@@ -182,31 +182,40 @@ def close_links(fingerprints: DataFrame, radius: int = RADIUS, shard: int = SHAR
     return links
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``.
-
-    component_id is the smallest doc_id that links of at most ``radius`` differing bits reach, its own included.
-    NULL texts are empty; texts without words have fingerprint zero and link like any other. Equal fingerprints are
-    one node, so copies cost nothing more; repeated rows keep their places in the result. A NULL doc_id is never a
-    component_id unless the component has no other. An empty table gives no rows; other columns are not read.
-    """
+def _fingerprinted(docs: DataFrame, shingle: int, *others: Column) -> DataFrame:
+    """doc_id, fp and ``others`` of every row, written to the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            doc_id, text = batch.columns
+            doc_id, text, *rest = batch.columns
             fps = np.array([fingerprint(t.as_py() or "", shingle) for t in text], np.uint64)
-            yield pa.record_batch([doc_id, pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([doc_id, pa.array(fps.view(np.int64)), *rest], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    rows = settle(
-        docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, "doc_id long, fp long"),
-        "fingerprints",
-    )
-    nodes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), *others)
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in read.schema.fields[2:])
+    return settle(read.mapInArrow(run, f"doc_id long, fp long{kinds}"), "fingerprints")
+
+
+def _leasts(rows: DataFrame, least: Column, radius: int, shard: int) -> DataFrame:
+    """fp and the minimum ``least`` (an aggregate) over its component, for every fingerprint of ``rows``."""
+    nodes = settle(rows.groupBy("fp").agg(least.alias("own")), "nodes")
     roots = components(close_links(nodes.select("fp"), radius, shard)).withColumnRenamed("node", "fp")
     of = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of.select("fp", "root").join(least, "root").select("fp", "component_id")
+    found = of.groupBy("root").agg(F.min("own").alias("least"))
+    return of.select("fp", "root").join(found, "root").select("fp", "least")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``.
+
+    component_id is the smallest doc_id that links of at most ``radius`` differing bits reach, its own included.
+    NULL texts are empty; texts without words have fingerprint zero and link like any other. Equal fingerprints are
+    one node, so copies cost nothing more; repeated rows keep their places in the result. A NULL doc_id is never a
+    component_id unless the component has no other. An empty table gives no rows; other columns are not read.
+    """
+    rows = _fingerprinted(docs, shingle)
+    named = _leasts(rows, F.min("doc_id"), radius, shard).withColumnRenamed("least", "component_id")
     return rows.join(named, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
@@ -215,9 +224,19 @@ def _hex(fp: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component; rows without doc_id stay."""
-    gone = settle(
-        near_duplicates(docs, shingle, radius).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")),
-        "near-dropped",
-    ).distinct().hint("shuffle_hash")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One row of ``docs`` for each component: that with the smallest doc_id, of several that with the least text hash.
+
+    Rows with a NULL doc_id stay beside rows with one, as nothing says which document they are; of a component whose
+    doc_ids are all NULL one row stays. Rows are told apart by a key that is written with them, so rows that share a
+    doc_id, or repeat each other, are decided one by one.
+    """
+    key = "row_key"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    keyed = settle(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    rows = _fingerprinted(keyed, shingle, F.xxhash64(keyed["text"]).alias("hash"), keyed[key].alias("key"))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "hash", "key")
+    leasts = _leasts(rows, F.min(order), radius, SHARD)
+    spare = (F.col("key") != F.col("least.key")) & (F.col("doc_id").isNotNull() | F.col("least.unknown"))
+    gone = settle(rows.join(leasts, "fp").filter(spare).select(F.col("key").alias("gone_key")), "near-dropped").hint("shuffle_hash")
+    return keyed.join(gone, keyed[key] == gone["gone_key"], "left_anti").drop(key)

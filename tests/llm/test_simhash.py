@@ -123,3 +123,16 @@ def test_odd_rows(spark):
     kept = drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert kept.filter(F.col("doc_id").isin(4, 9)).count() == 0 and kept.filter("doc_id is null").count() == 2
+
+
+def test_rows_are_dropped_one_by_one(spark):
+    one, two, three = "a b c d e f", "u v w x y z unlike", "k l m n o p other"
+    rows = [(3, one, 0), (7, one.upper(), 1), (7, two, 2), (5, three, 3), (5, three.upper(), 4), (5, three, 5), (8, three, 6)]
+    rows += [(None, "only rows without id", 7), (None, "only rows WITHOUT id", 8), (None, "only rows without id", 9)]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, row_key int, key string")
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text.lower()) for r in kept.collect())
+    assert got == [("3", one), ("5", three), ("7", two), ("None", "only rows without id")]
+    assert set(kept.collect()) <= set(docs.collect())
+    assert drop_near_duplicates(docs.limit(0)).count() == 0
