@@ -30,7 +30,7 @@ SLICES = 3
 SLICE_WORDS = 48
 NGRAM = 4
 HASH_BITS = 16
-#: Longer words are scored by their first and last half of this.
+#: A longer run of letters is cut into pieces of so many letters, each a word of the chain.
 WORD_CHARS = 64
 #: Words of the lexicon of each language.
 LEXICON = 4000
@@ -39,7 +39,7 @@ STORE_WORDS = 200_000
 #: Words that are labelled at once.
 POOL_WORDS = 150_000
 
-_WORDS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(rf"[^\W\d_]{{1,{WORD_CHARS}}}")
 _BEGIN, _END = "\x02", "\x03"
 
 
@@ -50,10 +50,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed n-grams of words: feature, word it belongs to; and a hash of each whole word."""
-    cut = [w if len(w) <= WORD_CHARS else w[: WORD_CHARS // 2] + w[-WORD_CHARS // 2 :] for w in words]
-    marked = np.frombuffer("".join([_BEGIN + w + _END for w in cut]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    length = np.array([len(w) + 2 for w in cut])
-    owner = np.repeat(np.arange(len(cut)), length)
+    marked = np.frombuffer("".join([_BEGIN + w + _END for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    length = np.array([len(w) + 2 for w in words])
+    owner = np.repeat(np.arange(len(words)), length)
     found, of = [], []
     with np.errstate(over="ignore"):
         h = np.zeros(len(marked), np.uint64)
@@ -69,7 +68,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             of.append(owner[:size][inside])
         place = np.arange(len(marked)) - np.repeat(np.cumsum(length) - length, length)
         power = _mix(place.astype(np.uint64) + np.uint64(1)) | np.uint64(1)
-        whole = np.add.reduceat(_mix(marked) * power, np.cumsum(length) - length) if len(cut) else np.zeros(0, np.uint64)
+        whole = np.add.reduceat(_mix(marked) * power, np.cumsum(length) - length) if len(words) else np.zeros(0, np.uint64)
     return np.concatenate(found).astype(np.int64), np.concatenate(of), whole
 
 
@@ -290,13 +289,14 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, list[list[str]]]]:
     """Slices of words of at most ``per_language`` labelled documents of each language, chosen by a hash of the id.
 
+    Long runs of letters are pieces of ``WORD_CHARS``, as in prediction.
     Documents without id or label, and those held out, are not seen.
     """
     known = docs.select(docs["doc_id"].alias("doc_id"), docs["lang"].alias("lang"), docs["text"].alias("text"))
     known = known.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = known.select("lang", "doc_id").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_language)
-    words = F.filter(F.split("text", r"[^\p{L}]+"), lambda w: (w != "") & (F.length(w) <= WORD_CHARS))
+    words = F.regexp_extract_all("text", F.lit(rf"\p{{L}}{{1,{WORD_CHARS}}}"), 0)
     slices = F.array(
         *[
             F.slice("words", F.pmod(F.xxhash64("doc_id", F.lit(i)), F.greatest(F.lit(1), F.size("words") - SLICE_WORDS)).cast("int") + 1, SLICE_WORDS)

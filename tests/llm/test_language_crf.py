@@ -84,3 +84,23 @@ def test_odd_rows(spark):
     assert keep_languages(docs, field).columns == docs.columns and keep_languages(docs, field).count() <= 4
     assert predict_languages(docs.limit(0), field).count() == 0
     assert {(r.lang_pred, r.score) for r in predict_languages(docs, None).collect()} == {("und", 0.0)}
+
+
+def test_every_letter_of_a_long_run_counts(spark):
+    rows = [(i, x, y) for i in range(30) for x, y in ((f"the cat and the dog {'abab' * 40}", "en"), (f"el gato y el perro {'xyxy' * 40}", "es"))]
+    rows = [(i, t, x) for i, (_, t, x) in enumerate(rows)]
+    labeller = Labeller(train(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    long = "a" + "ab" * 20 + "xy" * 50_000 + "ab" * 20
+    (n,), chance = labeller.word_chances([long])
+    assert n == -(-len(long) // 64)
+    assert labeller.predict([long])[0][0] == "es" and labeller.predict([long.replace("xy", "ab")])[0][0] == "en"
+
+
+def test_labels_with_only_long_runs_are_learned(spark):
+    rows = [(i, ("abc" if i % 2 else "xyz") * 200, "p" if i % 2 else "q") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = sample(docs)
+    assert all(len(w) <= 64 and "".join(s) in t for (label, slices) in learned for s in slices for w in s for t in ["abc" * 200 if label == "p" else "xyz" * 200])
+    field = fit(learned)
+    assert field.labels == ["p", "q"]
+    assert [x for x, _ in Labeller(field).predict(["abc" * 5000, "xyz" * 5000])] == ["p", "q"]
