@@ -16,14 +16,22 @@ from bazaarlens.llm.registry import shipped
 from bazaarlens.llm.simhash import drop_near_duplicates
 from bazaarlens.session import settle
 
-#: Mean probability of the language below which a document is rejected.
+#: Share of the way from chance (one of the learned labels) to certainty that a language's mean probability must reach.
+LEAST_SHARE = 2 / 15
+#: That bound with the four labels of the given tables.
 LEAST_SCORE = 0.35
 
 
+def least_score(labels: int) -> float:
+    """Mean probability of the language below which a document is rejected; a single label is certain."""
+    return round(1 / labels + LEAST_SHARE * (1 - 1 / labels), 9) if labels else 1.0
+
+
 @shipped
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or without a language of at least ``LEAST_SCORE``, go."""
-    return keep_languages(docs, train(docs), LEAST_SCORE).select(*docs.columns)
+    """Documents without a letter, or without a language of at least ``least_score``, go."""
+    field = train(docs)
+    return keep_languages(docs, field, least_score(len(field.labels) if field else 0)).select(*docs.columns)
 
 
 @shipped

@@ -65,3 +65,8 @@ def test_run(spark):
 def test_empty(spark, name, stage):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     assert stage(spark, docs, FOLDER).count() == 0
+
+
+def test_least_score_follows_the_number_of_labels():
+    got = [corpus_pipeline.least_score(k) for k in (1, 2, 4, 10)]
+    assert got == pytest.approx([1.0, 0.5666666667, 0.35, 0.22]) and corpus_pipeline.least_score(4) == corpus_pipeline.LEAST_SCORE == 0.35
