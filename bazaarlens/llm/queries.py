@@ -12,6 +12,7 @@ from bazaarlens.llm.licence_rules import check_sql, licences
 from bazaarlens.llm.packing import pack
 from bazaarlens.llm.preference import preferences, swapped_answers
 from bazaarlens.llm.prefix_bpe import encode_documents
+from bazaarlens.llm.prefix_trie import prefix_trie
 from bazaarlens.llm.quality_rules import quality
 from bazaarlens.llm.simhash import near_duplicates
 from bazaarlens.llm.token_files import read_token_files, write_token_files
@@ -151,6 +152,11 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return duplicates(table(spark, folder, "documents"))
 
 
+@query("op12_prefix_trie")
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"), group=20, most=4)
+
+
 @query("op13_quality_rules")
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"))
