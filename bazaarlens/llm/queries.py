@@ -10,6 +10,7 @@ from bazaarlens.llm.exact_dedup import duplicates
 from bazaarlens.llm.language_crf import predict_languages, train
 from bazaarlens.llm.licence_rules import check_sql, licences
 from bazaarlens.llm.packing import pack
+from bazaarlens.llm.phrase_graph import collocations
 from bazaarlens.llm.preference import preferences, swapped_answers
 from bazaarlens.llm.prefix_bpe import encode_documents
 from bazaarlens.llm.prefix_trie import prefix_trie
@@ -152,6 +153,48 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return duplicates(table(spark, folder, "documents"))
 
 
+@query(
+    "op11_phrase_graph",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece
+        FROM documents
+    ), words AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda w: w <> '') AS w FROM pieces
+    ), places AS (
+        SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+    ), f AS (
+        SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM places, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+    ), total AS (
+        SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+    ), candidates AS (
+        SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+    ), parts AS (
+        SELECT lang, k, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS left_part, array_to_string(w[cut + 1 : k], ' ') AS right_part
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)
+    ), cuts AS (
+        SELECT p.*, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM parts p JOIN f x ON x.lang = p.lang AND x.phrase = p.left_part JOIN f y ON y.lang = p.lang AND y.phrase = p.right_part
+    ), lowest AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    ), inner_phrases AS (
+        SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS longer
+        FROM candidates, (SELECT unnest([1, 2]) AS i) WHERE k = 3 GROUP BY ALL
+    ), ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+        FROM lowest LEFT JOIN inner_phrases USING (lang, phrase) WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11_phrase_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 @query("op12_prefix_trie")
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(table(spark, folder, "conversations"), group=20, most=4)
