@@ -26,6 +26,7 @@ from bazaarlens.plans.tagging import (
 from bazaarlens.plans.views import ctes, latest_sql, posts
 from bazaarlens.session import fresh_path
 from bazaarlens.sources import readers, sinks
+from bazaarlens.sources.keyed import KeyedTable
 from bazaarlens.sources.tables import load_posts, table
 from bazaarlens.streaming import jobs
 
@@ -364,6 +365,20 @@ def snk2_insert(spark, sf):
     return spark.read.parquet(path).select("l_orderkey", "l_linenumber")
 
 
+@query("snk2_keyed", "SELECT DISTINCT nullif(l_orderkey % 5000, 7) AS l_orderkey, nullif(l_linenumber, 4) AS l_linenumber FROM lineitem")
+def snk2_keyed(spark, sf):
+    """Deliveries that overlap, one of them twice and one in two shares, with NULL in either key."""
+    rows = table(spark, sf, "lineitem").select(
+        F.nullif(F.col("l_orderkey") % 5000, F.lit(7)).alias("l_orderkey"), F.nullif("l_linenumber", F.lit(4)).alias("l_linenumber"), "l_shipdate", "l_extendedprice"
+    )
+    order = [F.asc("l_shipdate"), F.asc("l_extendedprice")]
+    target = KeyedTable(spark, fresh_path(spark, "keyed"), rows.schema, ["l_orderkey", "l_linenumber"], 16)
+    first = rows.filter(F.col("l_shipdate") < F.lit("1999-06-01").cast("timestamp_ntz"))
+    for delivery, part, share in (("a", first, (0, 1)), ("b", rows, (0, 2)), ("b", rows, (1, 2)), ("a", first, (0, 1)), ("c", rows, (0, 1))):
+        target.insert(part, delivery, order, share)
+    return target.read().select("l_orderkey", "l_linenumber")
+
+
 @query("snk3_report", ctes(*METRICS) + "SELECT 'demo' AS project, * FROM macro")
 def snk3_report(spark, sf):
     path = fresh_path(spark, "report")
