@@ -65,9 +65,10 @@ def dictionary_vote(df: DataFrame, key: str, terms: str, dictionary: DataFrame)
     """Category with the highest total weight over the different matched terms.
 
     A tie gives the first level 1 name, level 2 'Unknown' and ``tied``; weights are summed
-    as decimals, so that ties are exact.
+    as decimals, so that ties are exact. A term listed twice for a category votes once, with its largest weight.
     """
-    entries = dictionary.select("term", "category_l1", "category_l2", F.col("weight").cast("decimal(18,9)").alias("weight"))
+    weight = F.max(F.col("weight").cast("decimal(18,9)")).alias("weight")
+    entries = dictionary.groupBy("term", "category_l1", "category_l2").agg(weight)
     votes = (
         # explode_outer: plain explode adds a size filter that evaluates the terms twice
         df.select(key, F.explode_outer(terms).alias("term"))

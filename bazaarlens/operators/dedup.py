@@ -8,6 +8,7 @@ the table still sends only n rows per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,6 +96,7 @@ def merge_master(
 
 
 def append_new(df: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Rows to insert: one per key, and only keys that the target lacks."""
+    """Rows to insert: one per key, and only keys that the target lacks; NULL equals NULL."""
     fresh = first_by(df, keys, order)
-    return fresh.join(existing.select(*keys), list(keys), "left_anti")
+    held = existing.select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    return fresh.join(held, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]), "left_anti")

@@ -170,6 +170,9 @@ DETAIL_SCHEMA = (
     f"struct<code:int, data:struct<liveInfo:struct<{_struct(LIVE_INFO)}>, performance:struct<{_struct(PERFORMANCE)}>, "
     f"promotion:struct<{_struct(PROMOTION)}, streamingPriceSets:array<bigint>>, keyMetrics:struct<{_struct(KEY_METRICS)}>>>"
 )
+#: Of a minute document: what adds up over buckets, and what is a level at a time.
+MINUTE_LEVELS = ("viewers", "ccu", "engaged_ccu")
+MINUTE_SUMS = tuple(name for name, _, _ in MINUTE if name not in ("bucket_time_ms", *MINUTE_LEVELS))
 MINUTE_SCHEMA = f"struct<{_struct(MINUTE)}>"
 TRAFFIC_SCHEMA = "struct<code:int, data:array<struct<sourceId:int, view:bigint, viewPercentage:double>>>"
 PROFILE_SCHEMA = "struct<code:int, data:array<struct<type:string, distribution:array<struct<itemName:string, value:bigint>>>>>"
@@ -220,6 +223,32 @@ def stage_minute(docs: DataFrame, doc: str = "doc") -> DataFrame:
     return out.withColumn("bucket_time_vn", local_time("bucket_time_ms"))
 
 
+def resample_minutes(buckets: DataFrame, sums: Sequence[str] = MINUTE_SUMS, levels: Sequence[str] = MINUTE_LEVELS) -> DataFrame:
+    """One row per session and minute from its first to its last bucket, on whole minutes.
+
+    Buckets that fall into the same minute are added up; ``levels`` take the last known value and carry it on through
+    minutes without a bucket, which count 0. Of buckets at the same instant the larger level counts. ``buckets``
+    is the number of buckets of the minute. Buckets without a time are left out; a NULL session is one of its own.
+    """
+    spot = F.unix_millis(F.window(F.timestamp_millis("bucket_time_ms"), "1 minute")["start"])
+    # a decimal sum does not depend on the order of the buckets
+    total = lambda c: F.sum(F.col(c).cast("decimal(30,6)")).cast(buckets.schema[c].dataType)
+    last = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("bucket_time_ms", F.col(c).alias("level"))))["level"]
+    minutes = (
+        buckets.withColumn("_minute", spot)
+        .groupBy("session_id", "_minute")
+        .agg(F.count("*").alias("buckets"), *[total(c).alias(c) for c in sums], *[last(c).alias(c) for c in levels])
+    )
+    spans = minutes.groupBy("session_id").agg(F.min("_minute").alias("_first"), F.max("_minute").alias("_last"))
+    calendar = spans.select("session_id", F.explode(F.expr("sequence(_first, _last, 60000L)")).alias("_minute"))
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"m.{c}")) for c in ("session_id", "_minute")]
+    w = Window.partitionBy("session_id").orderBy("bucket_time_ms").rowsBetween(Window.unboundedPreceding, 0)
+    filled = calendar.alias("c").join(minutes.alias("m"), same, "left").select(
+        "c.session_id", F.col("c._minute").alias("bucket_time_ms"), *[F.coalesce(f"m.{c}", F.lit(0)).alias(c) for c in ("buckets", *sums)], *[f"m.{c}" for c in levels]
+    )
+    return filled.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in levels}).withColumn("bucket_time_vn", local_time("bucket_time_ms"))
+
+
 def stage_traffic(docs: DataFrame) -> DataFrame:
     rows = docs.select("session_id", F.inline("data.data"))
     labels = docs.sparkSession.createDataFrame(TRAFFIC_LABELS, "source_id int, source_label string, label_confidence string")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import cascade, ratio
+from bazaarlens.operators.ranking import join_same
 from bazaarlens.session import settle
 
 # Brand texts that stand for no brand.
@@ -81,12 +82,12 @@ def market_share(df: DataFrame, within: Sequence[str], dims: Sequence[str], valu
     """Sum per ``within`` + ``dims`` and its share of the ``within`` total.
 
     Both sums are combined before their shuffles; totals join back, so no window holds a
-    whole market.
+    whole market. Rows of a NULL group are a market of their own.
     """
     keys = [*within, *dims]
     sums = df.groupBy(*keys).agg(F.sum(value).alias("_sum"))
     totals = sums.groupBy(*within).agg(F.sum("_sum").alias("_total"))
-    return sums.join(totals, list(within)).select(
+    return join_same(sums, totals, within).select(
         *keys, F.col("_sum").cast("double").alias(value), ratio("_sum", "_total").alias("share")
     )
 

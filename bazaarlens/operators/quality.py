@@ -13,14 +13,11 @@ from bazaarlens.operators.ranking import group_quantiles
 
 
 def compare_totals(before: DataFrame, after: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Two sums per key; a key missing on one side counts as zero there."""
-    left = before.groupBy(*keys).agg(F.sum(value).alias("_before"))
-    right = after.groupBy(*keys).agg(F.sum(value).alias("_after"))
-    return left.join(right, list(keys), "full").select(
-        *keys,
-        F.coalesce(F.col("_before").cast("double"), F.lit(0.0)).alias("before"),
-        F.coalesce(F.col("_after").cast("double"), F.lit(0.0)).alias("after"),
-    )
+    """Two sums per key, NULL a key like any other; a key missing on one side counts as zero there."""
+    left = before.select(*keys, F.col(value).alias("_before"), F.lit(None).alias("_after"))
+    right = after.select(*keys, F.lit(None).alias("_before"), F.col(value).alias("_after"))
+    total = lambda c: F.coalesce(F.sum(c).cast("double"), F.lit(0.0))
+    return left.unionByName(right).groupBy(*keys).agg(total("_before").alias("before"), total("_after").alias("after"))
 
 
 def revenue_drift(

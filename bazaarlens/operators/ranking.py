@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from bazaarlens.session import settle
 
 
-def _same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def join_same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join in which NULL equals NULL."""
     other = right.select(*[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns])
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
@@ -47,7 +47,7 @@ def _placed(long: DataFrame, group: Sequence[str]) -> DataFrame:
     )
     inside = Window.partitionBy(*group, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = cut.withColumn("_before", F.coalesce(F.sum("_cnt").over(inside), F.lit(0)))
-    return _same(local, bases, [*group, "_part"]).select(
+    return join_same(local, bases, [*group, "_part"]).select(
         *group, "_v", "_cnt", (F.col("_base") + F.col("_before")).alias("_before"), "_total", "_known"
     )
 
@@ -69,7 +69,7 @@ def rank_within(
     group = [*keys, "_m"]
     ranked = _placed(long, group).select(*group, "_v", (F.col("_before") + 1).alias("_rank"), "_total")
     wide = (
-        _same(long, ranked, [*group, "_v"])
+        join_same(long, ranked, [*group, "_v"])
         .groupBy(*ids)
         .agg(
             F.max("_total").alias(size_as),

@@ -147,6 +147,26 @@ def liv7_minute(spark, sf):
     return live.stage_minute(minute_docs(spark, sf)).select("session_id", "bucket_time_ms", "bucket_time_vn", "views", "placed_sales")
 
 
+@query(
+    "liv7_resample",
+    """WITH b AS (SELECT user_id % 97 AS session_id, (event_id * 7919) % 20000 * 1000 + event_id % 1000 AS ms, user_id AS views, value AS placed_sales,
+         CASE WHEN event_id % 3 > 0 THEN event_id % 50 END AS ccu FROM events),
+       m AS (SELECT session_id, ms - ms % 60000 AS minute, count(*) AS buckets, sum(views)::BIGINT AS views, sum(placed_sales::DECIMAL(30,6))::DOUBLE AS placed_sales,
+         arg_max(ccu, (ms, ccu)) FILTER (ccu IS NOT NULL) AS ccu FROM b GROUP BY ALL),
+       c AS (SELECT session_id, unnest(range(min(minute), max(minute) + 1, 60000)) AS minute FROM m GROUP BY session_id)
+       SELECT session_id, minute AS bucket_time_ms, strftime(TIMESTAMP '1970-01-01' + to_milliseconds(minute) + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS bucket_time_vn,
+       coalesce(buckets, 0) AS buckets, coalesce(views, 0) AS views, coalesce(placed_sales, 0) AS placed_sales,
+       last_value(ccu IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY minute) AS ccu FROM c LEFT JOIN m USING (session_id, minute)""",
+)
+def liv7_resample(spark, sf):
+    """A document per event: skewed times, minutes with several buckets and minutes with none."""
+    at = (F.col("event_id") * 7919) % 20000 * 1000 + F.col("event_id") % 1000
+    bucket = F.struct(at.alias("time"), F.col("user_id").alias("views"), F.col("value").alias("placedSales"), F.when(F.col("event_id") % 3 > 0, F.col("event_id") % 50).alias("ccu"))
+    docs = table(spark, sf, "events").select((F.col("user_id") % 97).alias("session_id"), F.to_json(F.struct(F.lit(0).alias("code"), F.array(bucket).alias("data"))).alias("doc"))
+    out = live.resample_minutes(live.stage_minute(docs))
+    return out.select("session_id", "bucket_time_ms", "bucket_time_vn", "buckets", "views", "placed_sales", "ccu")
+
+
 @query(
     "liv8_traffic",
     """WITH t AS (SELECT o_orderkey AS session_id, unnest([2, 9, 50, 99])::INT AS source_id, unnest([o_custkey % 5, 0, 1, o_custkey % 3]) AS view FROM orders)

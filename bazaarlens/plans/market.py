@@ -173,6 +173,34 @@ def qc1_drift(spark, sf):
     return quality.revenue_drift(_year(spark, sf, 1999), _year(spark, sf, 2000))
 
 
+NULL_CATEGORY = "CASE WHEN partner_category <> (SELECT min(partner_category) FROM sales) THEN partner_category END"
+
+
+@query(
+    "qc1_null_category",
+    ctes(sales_cte(), ("t", f"""SELECT {NULL_CATEGORY} AS partner_category, coalesce(sum(sales) FILTER (year = 1999), 0)::DOUBLE AS before,
+      coalesce(sum(sales) FILTER (year = 2000), 0)::DOUBLE AS after FROM sales WHERE year IN (1999, 2000) GROUP BY 1"""))
+    + f"SELECT *, {r(div('after - before', 'before') + ' * 100', 2)} AS diff_pct, coalesce(abs({r(div('after - before', 'before') + ' * 100', 2)}) > 5, false) AS flagged FROM t",
+)
+def qc1_null_category(spark, sf):
+    """Rows without a category are compared with their like."""
+    least = sales(spark, sf).agg(F.min("partner_category")).first()[0]
+    before, after = (_year(spark, sf, y).withColumn("partner_category", F.nullif("partner_category", F.lit(least))) for y in (1999, 2000))
+    return quality.revenue_drift(before, after)
+
+
+@query(
+    "mkt5_null_group",
+    ctes(sales_cte(), ("s", f"SELECT time, {NULL_CATEGORY} AS partner_category, brand, sum(sales) AS s FROM sales GROUP BY ALL"))
+    + f"SELECT time, partner_category, brand, s::DOUBLE AS sales, {r(div('s', 'sum(s) OVER (PARTITION BY time, partner_category)'))} AS share FROM s",
+)
+def mkt5_null_group(spark, sf):
+    rows = sales(spark, sf)
+    least = rows.agg(F.min("partner_category")).first()[0]
+    out = market.market_share(rows.withColumn("partner_category", F.nullif("partner_category", F.lit(least))), ["time", "partner_category"], ["brand"])
+    return out.withColumn("share", F.bround("share", 6))
+
+
 @query(
     "qc3_combos",
     ctes(COMBOS, ("s", "SELECT combo_id, count(*) AS n_rows, sum(coefficient_in_combo::DECIMAL(18,6))::DOUBLE AS coef_sum FROM combos GROUP BY 1"))
@@ -428,6 +456,24 @@ def ss3_trend(spark, sf):
     return out.withColumns({c: F.bround(c, 6) for c in ("share", "prev_share", "change")})
 
 
+@query(
+    "ss3_months",
+    ctes(
+        FACTS,
+        ("named", "SELECT date_trunc('month', created_at)::DATE AS month, key_word, coalesce(nullif(brand, ''), 'No Brand') AS brand, product_base_id FROM facts"),
+        ("span", "SELECT key_word, min(month) AS a, max(month) AS b FROM named GROUP BY 1"),
+        ("grid", "SELECT DISTINCT key_word, brand, unnest(generate_series(a, b, INTERVAL 1 MONTH))::DATE AS month FROM named JOIN span USING (key_word)"),
+        ("s", "SELECT g.month, g.key_word, g.brand, count(DISTINCT product_base_id) AS products FROM grid g LEFT JOIN named USING (month, key_word, brand) GROUP BY ALL"),
+        ("t", f"SELECT *, sum(products) OVER (PARTITION BY month, key_word)::BIGINT AS total, {div('products', 'sum(products) OVER (PARTITION BY month, key_word)')} AS share FROM s"),
+        ("l", "SELECT *, lag(share) OVER (PARTITION BY key_word, brand ORDER BY month) AS prev_share FROM t"),
+    )
+    + f"SELECT month, key_word, brand, products, total, {r('share')} AS share, {r('prev_share')} AS prev_share, {r('share - prev_share')} AS change FROM l",
+)
+def ss3_months(spark, sf):
+    out = search.search_share_months(search_facts(spark, sf), F.col("created_at"))
+    return out.withColumns({c: F.bround(c, 6) for c in ("share", "prev_share", "change")})
+
+
 @query(
     "ss4_rank",
     f"""SELECT p_type AS key_word, p_brand AS brand, min(k)::BIGINT AS best_position, {r(div('sum(k)', 'count(*)'))} AS avg_position, count(*) AS items FROM
