@@ -28,7 +28,7 @@ from bazaarlens.session import fresh_path
 from bazaarlens.sources import readers, sinks
 from bazaarlens.sources.keyed import KeyedTable
 from bazaarlens.sources.tables import load_posts, table
-from bazaarlens.streaming import jobs
+from bazaarlens.streaming import jobs, retag
 
 # second stage ----------------------------------------------------------------------------
 
@@ -246,6 +246,40 @@ def str1_tag_stream(spark, sf):
     return jobs.run_to_end(tagged, "tagged")
 
 
+def _link_or_rule(rows):
+    """A product link decides; without one the first rule of the dictionary version does."""
+    link = F.col("list_product_base_id")
+    v1 = F.when(F.col("text").contains("the"), "english").otherwise("Unknown")
+    v2 = F.when(F.col("text").contains("der"), "german").when(F.col("text").contains("the"), "english").otherwise("Unknown")
+    rule = F.when(F.col("tag_dict_version") == "v2", v2).otherwise(v1)
+    return rows.select(
+        "post_base_id",
+        F.when(F.size(link) > 0, F.concat(F.lit("shelf "), (F.element_at(link, 1) % 7).cast("string"))).otherwise(rule).alias("category_l1"),
+        F.when(F.size(link) > 0, "product_link").otherwise("rule").alias("category_source"),
+        "tag_dict_version",
+    )
+
+
+@query(
+    "str1_retag",
+    """SELECT doc_id AS post_base_id, CASE WHEN doc_id % 4 = 0 THEN 'shelf ' || ((doc_id * 3) % 7)
+         ELSE CASE WHEN contains(text, 'der') THEN 'german' WHEN contains(text, 'the') THEN 'english' ELSE 'Unknown' END END AS category_l1,
+         CASE WHEN doc_id % 4 = 0 THEN 'product_link' ELSE 'rule' END AS category_source, 'v2' AS tag_dict_version FROM documents""",
+)
+def str1_retag(spark, sf):
+    """Links come before and after their posts, then a new dictionary; every phase is a restart of the stream."""
+    posts = table(spark, sf, "documents").select(F.col("doc_id").alias("post_base_id"), "text")
+    early, late = posts.filter("post_base_id % 10 <> 4"), posts.filter("post_base_id % 10 = 4")
+    links = posts.filter("post_base_id % 4 = 0").select("post_base_id", F.array(F.col("post_base_id") * 3).alias("list_product_base_id"))
+    event = lambda rows, at: retag.post_events(rows, "post_base_id", F.lit(at), ["text"])
+    phases = [
+        event(early, 1).unionByName(retag.version_event(spark, "v1", 1)),
+        retag.link_events(links, "post_base_id", F.lit(2), "list_product_base_id"),
+        event(late, 3).unionByName(retag.version_event(spark, "v2", 3)),
+    ]
+    return retag.run_phases(spark, phases, fields=posts.schema, key="post_base_id", products="list_product_base_id", tagger=_link_or_rule, buckets=16)
+
+
 @query("str2_ingest", "SELECT DISTINCT user_id, event_type FROM events")
 def str2_ingest(spark, sf):
     events = jobs.stream_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
