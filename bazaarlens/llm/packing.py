@@ -29,6 +29,8 @@ from bazaarlens.session import settle
 
 MAX_TOKENS = 1024
 PACKET = 256
+#: Texts that are encoded together.
+BATCH = 1250
 #: A mixture names its parts; more queues than this are refused, as their sizes are held by every task.
 MAX_QUEUES = 10_000
 #: Quanta are counted in this part of a token.
@@ -114,15 +116,15 @@ def token_table(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
         seen: dict[str, int] = {}
         for batch in batches:
             doc_id, queue, text = batch.columns
-            for at in range(0, len(text), 500):
-                ids = [words.encode(t.as_py() or "").tobytes() + end for t in text[at : at + 500]]
-                queues, before = queue[at : at + 500].to_pylist(), []
+            for at in range(0, len(text), BATCH):
+                ids = [x.tobytes() + end for x in words.encode_many([t.as_py() or "" for t in text[at : at + BATCH]])]
+                queues, before = queue[at : at + BATCH].to_pylist(), []
                 tokens = [len(x) // words.dtype.itemsize for x in ids]
                 for q, n in zip(queues, tokens, strict=True):
                     before.append(seen.get(q, 0))
                     seen[q] = before[-1] + n
                 yield pa.record_batch(
-                    [[part] * len(ids), queues, doc_id[at : at + 500], before, tokens, ids], schema=schema
+                    [[part] * len(ids), queues, doc_id[at : at + BATCH], before, tokens, ids], schema=schema
                 )
 
     queue = F.coalesce(F.concat(F.lit("="), docs["source"].cast("string")), F.lit(""))

@@ -25,6 +25,8 @@ from bazaarlens.session import settle
 MAGIC = b"BZTOKEN1"
 #: A file is closed when it holds this many ids.
 FILE_TOKENS = 1 << 27
+#: Texts that are encoded together.
+BATCH = 1250
 # documents, of these without doc_id (they come first), smallest doc_id, bytes of an id, bytes of the two lists
 _FOOTER = struct.Struct("<QQqIQ8s")
 _MANIFEST = "part int, number int, path string, docs long, tokens long"
@@ -99,13 +101,15 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int | Non
             rows.append((part, number, file.path, len(file.ends), file.tokens))
 
         for batch in batches:
-            for doc_id, text in zip(*batch.columns, strict=True):
-                if file is None:
-                    file = _Writer(folder, f"part-{part:06d}-{number:04d}", words.dtype)
-                file.add(doc_id.as_py(), np.concatenate([words.encode(text.as_py() or ""), end]))
-                if file.tokens >= FILE_TOKENS:
-                    close()
-                    file, number = None, number + 1
+            for at in range(0, batch.num_rows, BATCH):
+                doc_ids, texts = (c.to_pylist() for c in batch.slice(at, BATCH).columns)
+                for doc_id, ids in zip(doc_ids, words.encode_many([t or "" for t in texts]), strict=True):
+                    if file is None:
+                        file = _Writer(folder, f"part-{part:06d}-{number:04d}", words.dtype)
+                    file.add(doc_id, np.concatenate([ids, end]))
+                    if file.tokens >= FILE_TOKENS:
+                        close()
+                        file, number = None, number + 1
         if file is not None:
             close()
         if rows:
