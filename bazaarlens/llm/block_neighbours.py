@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from bazaarlens.session import settle
 
 K = 20
-QUERY_BLOCK = 1024
+#: Queries that go through the candidates together, and how many of them meet a candidate block at once.
+QUERY_BLOCK, TILE = 8192, 1024
 BLOCK = 2048
 #: Candidate blocks that one task takes a query block through.
-GROUP = 8
+GROUP = 4
 
 _BLOCKS = "dim int, qb int, cg int, kind int, cb int, rows int, vectors binary, counts binary, ids binary"
 
@@ -59,6 +60,15 @@ class Tiles:
         self.length = np.sqrt((queries**2).sum(1))
         self.heaps: list[list[tuple[float, int]]] = [[] for _ in self.own]
 
+    def _own_only(self, counts: np.ndarray, first: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Queries and the candidates that are nothing but themselves: classes whose only id is the query's."""
+        single = np.flatnonzero(counts == 1)
+        held = ids[first[single]]
+        order = np.argsort(held, kind="stable")
+        low, high = (np.searchsorted(held[order], self.own, side) for side in ("left", "right"))
+        for i in np.flatnonzero(high > low).tolist():
+            yield i, single[order[low[i] : high[i]]]
+
     def add(self, y: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
         code, scale, stands, missed = codes(y)
         # products of codes are whole numbers below 2^24 up to 1040 components: exact in single precision
@@ -66,15 +76,17 @@ class Tiles:
         near = (self.code.astype(kind) @ code.astype(kind).T).astype(float) * self.scale[:, None] * scale
         error = self.missed[:, None] * (stands + missed) + self.stands[:, None] * missed
         error += 1e-9 * self.length[:, None] * (stands + missed)  # rounding of the steps here
+        first = np.cumsum(counts) - counts
+        for i, own in self._own_only(counts, first, ids):
+            near[i, own] = -np.inf
+        # every other class has an id that counts, so the k-th best lower bound is a floor
         floor = np.full(len(self.x), -np.inf)
-        if len(y) > self.k + 1:
-            # one of the k + 1 best may be the query itself
-            floor = np.partition(near - error, len(y) - self.k - 1, axis=1)[:, len(y) - self.k - 1]
+        if len(y) > self.k:
+            floor = np.partition(near - error, len(y) - self.k, axis=1)[:, len(y) - self.k]
         full = [i for i, h in enumerate(self.heaps) if len(h) == self.k]
         floor[full] = np.maximum(floor[full], [self.heaps[i][0][0] for i in full])
         with np.errstate(invalid="ignore"):
             q, c = np.nonzero(~(near + error < floor[:, None]))
-        first = np.cumsum(counts) - counts
         for at in range(0, len(q), 1 << 16):
             some = slice(at, at + (1 << 16))
             score = inner(self.x[q[some]], y[c[some]])
@@ -125,24 +137,26 @@ def _run(k: int, wide: bool):
             a, b, c = tiles.rows()
             return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], names=["query_id", "vec_id", "score"])
 
-        tiles, key = None, None
+        tiles: list[Tiles] | None = None
+        key = None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in ("dim", "qb", "cg", "kind")}
                 now = (row["dim"], row["qb"], row["cg"])
                 if now != key and tiles is not None:
-                    yield out(tiles)
+                    yield from map(out, tiles)
                     tiles = None
                 key = now
                 if row["kind"] and tiles is None:
                     continue  # candidates of a dimension or block without queries
                 x, counts, ids = read({n: batch.column(n)[i].as_py() for n in ("rows", "vectors", "counts", "ids")})
                 if row["kind"] == 0:
-                    tiles = Tiles(x, ids, k)
+                    tiles = [Tiles(x[at : at + TILE], ids[at : at + TILE], k) for at in range(0, len(x), TILE)]
                 else:
-                    tiles.add(x, counts, ids)
+                    for tile in tiles:
+                        tile.add(x, counts, ids)
         if tiles is not None:
-            yield out(tiles)
+            yield from map(out, tiles)
 
     return run
 
@@ -153,7 +167,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, query_block: int =
     Needs vec_id and embedding; other columns, whatever their names, are not read. Rows with a NULL vec_id, and
     vectors that are NULL, empty, zero or hold NULL or non-finite components take no part; only vectors of the same
     number of components meet. Ties go to the smaller vec_id. Rows with the query's vec_id are never its candidates;
-    rows that repeat vec_id and vector count once. A query without candidates, and an empty table, give no rows.
+    rows that repeat vec_id and vector count once. Different vectors of one vec_id are candidates of their own, so the
+    id may take several ranks; as queries they share one answer, the k best pairs of any of them. A query without
+    candidates, and an empty table, give no rows.
     """
     v = F.col("v")
     wide = "double" in dict(vectors.dtypes)["embedding"]

@@ -59,6 +59,22 @@ def test_frequent_texts_are_split_off(spark):
 # nearest neighbours
 
 
+@pytest.mark.parametrize("block,query_block", [(16, 7), (4096, 8192)])
+def test_neighbours_of_an_id_with_many_vectors(spark, block, query_block):
+    rng = np.random.default_rng(block)
+    whole = lambda n, wide: np.rint(rng.normal(size=(n, 6)) * wide).tolist()
+    rows = [(20, v) for v in whole(30, 900)] + [(100 + i, v) for i, v in enumerate(whole(101, 99))] + [(201 + i % 3, v) for i, v in enumerate(whole(30, 500))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(frame, every=20, k=20, query_block=query_block, block=block).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(got) == {20, 100, 120, 140, 160, 180, 200}
+    for q, found in got.items():
+        score = lambda a, b: sum(x * y for x, y in zip(a, b))
+        ranked = sorted((-score(v, w), i) for p, v in rows if p == q for i, w in rows if i != q)[:20]
+        assert sorted(found) == [(n, i, -s) for n, (s, i) in enumerate(ranked, 1)]
+
+
 @pytest.mark.parametrize("block", [16, 4096])
 def test_nearest_against_all_pairs(spark, block):
     rng = np.random.default_rng(block)
