@@ -90,7 +90,8 @@ def hashtag_leaderboard(
     days: int = 1,
     k: tuple[int, int, int] = (5, 10, 20),
 ) -> DataFrame:
-    return leaderboard(hashtag_by_brand(posts, products, categories, day, days), k)
+    # ranks, totals and tags all start from the counts
+    return leaderboard(settle(hashtag_by_brand(posts, products, categories, day, days), "hashtag-counts"), k)
 
 
 def videos_by_hashtag(posts: DataFrame, tag: str, as_of: str, days: int = 7) -> DataFrame:

@@ -25,7 +25,7 @@ from bazaarlens.plans.tagging import (
 )
 from bazaarlens.plans.views import ctes, latest_sql, posts
 from bazaarlens.session import fresh_path
-from bazaarlens.sources import readers, sinks
+from bazaarlens.sources import readers, sinks, split_csv
 from bazaarlens.sources.keyed import KeyedTable
 from bazaarlens.sources.tables import load_posts, table
 from bazaarlens.streaming import jobs, retag
@@ -315,6 +315,17 @@ def src2_csv(spark, sf):
     return df.withColumn("text", F.md5(F.col("text").cast("binary")))
 
 
+@query("src2_split_csv", "SELECT doc_id, md5('\"' || text || '\",' || chr(13) || chr(10) || lang) AS text, lang FROM documents")
+def src2_split_csv(spark, sf):
+    """Quotes, separators and both line ends inside the texts."""
+    path = fresh_path(spark, "csv")
+    text = F.concat(F.lit('"'), "text", F.lit('",\r\n'), "lang")
+    rows = table(spark, sf, "documents").select("doc_id", text.alias("text"), "lang")
+    rows.write.csv(path, header=True, quoteAll=True, escape='"', lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df = split_csv.read_split_csv(spark, path, "doc_id bigint, text string, lang string")
+    return df.withColumn("text", F.md5(F.col("text").cast("binary")))
+
+
 @query(
     "src3_search_json",
     """WITH p AS (SELECT *, lower(p_type) AS k FROM part), u AS (SELECT p_partkey, k, unnest([1, 2, 3]) AS position FROM p)
