@@ -29,6 +29,7 @@ from bazaarlens.sources import readers, sinks, split_csv
 from bazaarlens.sources.keyed import KeyedTable
 from bazaarlens.sources.tables import load_posts, table
 from bazaarlens.streaming import jobs, retag
+from bazaarlens.streaming.compact import UpdatedTable
 
 # second stage ----------------------------------------------------------------------------
 
@@ -298,6 +299,26 @@ def str3_minutes(spark, sf):
     return out.withColumn("minute", F.col("minute").cast("timestamp_ntz"))
 
 
+@query(
+    "str3_compacted",
+    """SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS minute, event_type, count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events
+       GROUP BY 1, 2""",
+)
+def str3_compacted(spark, sf):
+    """Events arrive week by week; after each delivery the minutes behind the watermark are closed."""
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    weeks = [r.m for r in events.select(F.date_trunc("week", "ts").alias("m")).distinct().orderBy("m").collect()]
+    inbox, target, checkpoint = (fresh_path(spark, n) for n in ("minutes-in", "minutes-out", "minutes-state"))
+    for week in weeks:
+        part = events.filter(F.date_trunc("week", "ts") == F.lit(week))
+        part.write.mode("append").parquet(inbox)
+        stream = jobs.minute_metrics(spark.readStream.schema(events.schema).parquet(inbox))
+        jobs.run_updates(stream, ["minute", "event_type"], "minutes", target, checkpoint)
+        minutes = UpdatedTable(spark, target, stream.schema, ["minute", "event_type"], "minute")
+        minutes.compact(str(part.agg(F.max("ts") - F.expr("interval 11 minutes")).first()[0]))
+    return minutes.read().withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
 # sources and sinks -----------------------------------------------------------------------
 
 
