@@ -23,11 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bazaarlens.llm.tokens import release, segments
+from bazaarlens.session import settle
 
 UNKNOWN = "und"
 PER_LANGUAGE = 400
 SLICES = 3
 SLICE_WORDS = 48
+#: A label's hashes are counted in 2^RANGE_BITS ranges.
+RANGE_BITS = 10
+#: Slices of so many labels at most go to the driver; more are refused.
+MAX_LABELS = 1000
 NGRAM = 4
 HASH_BITS = 16
 #: A longer run of letters is cut into pieces of so many letters, each a word of the chain.
@@ -286,16 +291,31 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def _least_hashes(rows: DataFrame, per_language: int) -> DataFrame:
+    """The rows with the ``per_language`` smallest hashes of each label.
+
+    Ranges of hashes are counted first, so that only the rows of the smallest ranges, which hold enough, are ranked.
+    """
+    hashed = rows.withColumn("hash", F.xxhash64("doc_id")).withColumn("range", F.shiftright("hash", 64 - RANGE_BITS))
+    earlier = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = hashed.groupBy("lang", "range").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    bounds = settle(counts.filter(F.col("before") < per_language).groupBy("lang").agg(F.max("range").alias("most")), "sample-bounds")
+    few = hashed.join(bounds, "lang").filter(F.col("range") <= F.col("most"))
+    by_hash = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    return few.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_language).select("lang", "doc_id")
+
+
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, list[list[str]]]]:
     """Slices of words of at most ``per_language`` labelled documents of each language, chosen by a hash of the id.
 
     Long runs of letters are pieces of ``WORD_CHARS``, as in prediction.
-    Documents without id or label, and those held out, are not seen.
+    Documents without id or label, and those held out, are not seen. More than ``MAX_LABELS`` labels are an error.
     """
     known = docs.select(docs["doc_id"].alias("doc_id"), docs["lang"].alias("lang"), docs["text"].alias("text"))
     known = known.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("lang", "doc_id").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_language)
+    ids = settle(_least_hashes(known.select("lang", "doc_id"), per_language), "sample-ids")
+    if (labels := ids.select("lang").distinct().count()) > MAX_LABELS:
+        raise ValueError(f"{labels} labels: a field of more than {MAX_LABELS} cannot be fitted on the driver")
     words = F.regexp_extract_all("text", F.lit(rf"\p{{L}}{{1,{WORD_CHARS}}}"), 0)
     slices = F.array(
         *[
@@ -303,9 +323,9 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str,
             for i in range(SLICES)
         ]
     )
-    # per_language rows for each label
+    # per_language rows for each label; Spark broadcasts them by their size
     rows = (
-        known.join(F.broadcast(ids.select("lang", "doc_id").distinct()), ["lang", "doc_id"], "left_semi")
+        known.join(ids.select("lang", "doc_id"), ["lang", "doc_id"], "left_semi")
         .filter(F.col("text").isNotNull())
         .select("lang", "doc_id", words.alias("words"))
         .select("lang", "doc_id", slices.alias("slices"))

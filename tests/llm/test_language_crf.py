@@ -104,3 +104,18 @@ def test_labels_with_only_long_runs_are_learned(spark):
     field = fit(learned)
     assert field.labels == ["p", "q"]
     assert [x for x, _ in Labeller(field).predict(["abc" * 5000, "xyz" * 5000])] == ["p", "q"]
+
+
+def test_the_sample_has_the_smallest_hashes(spark):
+    docs = spark.range(20_000).selectExpr("id doc_id", "concat('word', char(97 + cast(id % 7 as int)), ' text') text", "if(id % 3 = 0, 'a', concat('l', id % 5)) lang")
+    for k in (1, 50, 5000):
+        got = sorted(map(tuple, language_crf._least_hashes(docs.select("lang", "doc_id"), k).collect()))
+        want = docs.selectExpr("lang", "doc_id", "row_number() over (partition by lang order by xxhash64(doc_id), doc_id) n").filter(F.col("n") <= k)
+        assert got == sorted((r.lang, r.doc_id) for r in want.collect())
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_crf, "MAX_LABELS", 3)
+    docs = spark.range(40).selectExpr("id doc_id", "'some text' text", "concat('l', id % 5) lang")
+    with pytest.raises(ValueError, match="5 labels"):
+        sample(docs)
