@@ -28,11 +28,12 @@ from bazaarlens.llm.tokens import store
 from bazaarlens.session import settle
 
 MAX_TOKENS = 1024
-PACKET = 256
+PACKET = 128
 #: Texts that are encoded together.
 BATCH = 1250
-#: A mixture names its parts; more queues than this are refused, as their sizes are held by every task.
+#: Every task holds the sizes of so many queues. Of more sources the smallest share the last queue, one after another.
 MAX_QUEUES = 10_000
+TAIL = "~"  # names of sources begin with =
 #: Quanta are counted in this part of a token.
 SCALE = 1 << 12
 
@@ -148,23 +149,26 @@ def pack(
     sources are a queue of their own; doc_ids may be NULL or repeat, each row is packed by itself. ``end_id`` ends
     every document. ``targets`` gives weights by source (missing ones weigh as the smallest); by default a source
     weighs what its tokens are, so that every window is mixed like the whole. When a queue runs dry the others go on
-    in their proportions. A document without tokens has no piece; an empty table gives no rows. Every sequence but
+    in their proportions. Of more than ``MAX_QUEUES`` sources the smallest share a queue, which weighs what all their
+    tokens do, or the smallest of the given targets. A document without tokens has no piece; an empty table gives no rows. Every sequence but
     the last is full.
     """
     if max_tokens % packet:
         raise ValueError("packets must fill a sequence")
     rows = settle(token_table(docs, path, end_id), "tokens")
-    sums = rows.groupBy("queue", "part").agg(F.sum("tokens").alias("tokens"))
-    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = settle(rows.groupBy("queue", "part").agg(F.sum("tokens").alias("tokens")), "queue-sums")
+    by_size = sums.groupBy("queue").agg(F.sum("tokens").alias("all")).orderBy(F.desc("all"), "queue")
+    own = settle(by_size.limit(MAX_QUEUES - 1).select(F.col("queue").alias("own")), "own-queues")
+    sums = sums.join(own, F.col("queue") == F.col("own"), "left").withColumn("turn", F.coalesce("own", F.lit(TAIL)))
+    earlier = Window.partitionBy("turn").orderBy("part", "queue").rowsBetween(Window.unboundedPreceding, -1)
     # one row per input split and queue: small enough to broadcast until there are very many splits
     bases = settle(
-        sums.select("queue", "part", "tokens", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base")),
+        sums.select("turn", "queue", "part", "tokens", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base")),
         "bases",
     )
-    sizes = bases.groupBy("queue").agg(F.sum("tokens").alias("tokens")).orderBy("queue").limit(MAX_QUEUES + 1).collect()
-    if len(sizes) > MAX_QUEUES:
-        raise ValueError(f"more than {MAX_QUEUES} sources: map them to the parts of a mixture first")
-    names = [r["queue"] for r in sizes]
+    # at most MAX_QUEUES rows
+    sizes = bases.groupBy("turn").agg(F.sum("tokens").alias("tokens")).orderBy("turn").collect()
+    names = [r["turn"] for r in sizes]
     tokens = np.array([r["tokens"] for r in sizes], np.int64)
     if targets is None:
         weights = tokens.astype(float)
@@ -176,10 +180,10 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_id, queue, tokens, first, ids = batch.columns
+            doc_id, queue, turn, tokens, first, ids = batch.columns
             queues = queue.to_pylist()
             of, start, length, place = rounds.pieces(
-                np.array([number[q] for q in queues], np.int64), first.to_numpy(), tokens.to_numpy()
+                np.array([number[q] for q in turn.to_pylist()], np.int64), first.to_numpy(), tokens.to_numpy()
             )
             crc, own, held, wide = [], [], -1, memoryview(b"")
             for i, s, n in zip(of.tolist(), start.tolist(), length.tolist(), strict=True):
@@ -199,8 +203,8 @@ def pack(
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue", "ids"],
             )
 
-    placed = rows.join(bases.select("queue", "part", "base"), ["queue", "part"]).select(
-        "doc_id", "queue", "tokens", (F.col("base") + F.col("before")).alias("first"), "ids"
+    placed = rows.join(bases.select("turn", "queue", "part", "base"), ["queue", "part"]).select(
+        "doc_id", "queue", "turn", "tokens", (F.col("base") + F.col("before")).alias("first"), "ids"
     )
     out = placed.mapInArrow(cut, _PIECES).withColumnRenamed("queue", "source")
     return out if with_ids else out.drop("ids")

@@ -102,8 +102,16 @@ def test_odd_rows(spark):
     assert twice.agg(F.sum("length")).first()[0] == 2 * twice.first().doc_tokens
 
 
-def test_too_many_sources(spark, monkeypatch):
-    monkeypatch.setattr("bazaarlens.llm.packing.MAX_QUEUES", 2)
-    docs = spark.range(5).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"), F.col("id").cast("string").alias("source"))
-    with pytest.raises(ValueError, match="mixture"):
-        pack(docs, PATH)
+def test_the_smallest_of_many_sources_share_a_queue(spark, monkeypatch):
+    monkeypatch.setattr("bazaarlens.llm.packing.MAX_QUEUES", 3)
+    texts = {i: "some text " * (40 if i % 40 < 2 else 1 + i % 3) for i in range(400)}
+    docs = spark.createDataFrame([(i, t, str(i % 40)) for i, t in texts.items()], "doc_id long, text string, source string").repartition(5)
+    rows = pack(docs, PATH, max_tokens=64, packet=16).collect()
+    check(rows, texts, 64)
+    assert all(r.source == str(r.doc_id % 40) for r in rows)
+
+
+def test_more_sources_than_queues(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a few words").alias("text"), F.col("id").cast("string").alias("source"))
+    got = pack(docs, PATH).agg(F.sum("length").alias("n"), F.countDistinct("source").alias("sources"), F.max("sequence_id").alias("last")).first()
+    assert (got.n, got.sources, got.last) == (80_000, 20_000, 78)
