@@ -25,7 +25,7 @@ from bazaarlens.plans.tagging import (
 )
 from bazaarlens.plans.views import ctes, latest_sql, posts
 from bazaarlens.session import fresh_path
-from bazaarlens.sources import readers, sinks, split_csv
+from bazaarlens.sources import readers, sinks, split_csv, split_json
 from bazaarlens.sources.keyed import KeyedTable
 from bazaarlens.sources.tables import load_posts, table
 from bazaarlens.streaming import jobs, retag
@@ -412,6 +412,35 @@ def src8_lazada(spark, sf):
     return readers.lazada_items(docs)
 
 
+def _keyword_files(spark, sf, result):
+    """Every part as an object keyed by keyword, some of them over several lines, in files without an outer list."""
+    path = fresh_path(spark, "keyword-json")
+    body = F.to_json(F.create_map(F.lower("p_type"), result))
+    spread = F.when(F.col("p_partkey") % 2 == 0, F.replace(body, F.lit(","), F.lit(",\n  "))).otherwise(body)
+    table(spark, sf, "part").select(spread.alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "src3_variant",
+    """SELECT lower(p_type) AS key_word, i::INT AS position, CASE WHEN i = 1 THEN p_partkey END AS itemid, CASE WHEN i = 1 THEN p_name END AS name,
+       CASE WHEN i = 2 THEN p_size::BIGINT END AS drifted FROM part, (SELECT unnest([1, 2]) AS i)""",
+)
+def src3_variant(spark, sf):
+    """The second item of every list has another shape, which is kept."""
+    basic = F.struct(F.struct(F.col("p_partkey").alias("itemid"), F.col("p_name").alias("name")).alias("item_basic"), F.lit(None).cast("bigint").alias("size"))
+    other = F.struct(F.lit(None).cast("struct<itemid:bigint,name:string>").alias("item_basic"), F.col("p_size").cast("bigint").alias("size"))
+    items = split_json.search_results(spark, _keyword_files(spark, sf, F.struct(F.array(basic, other).alias("items"))))
+    return items.select("key_word", "position", "itemid", "name", F.try_variant_get("item", "$.size", "bigint").alias("drifted"))
+
+
+@query("src8_variant", "SELECT lower(p_type) AS key_word, 1::INT AS position, p_partkey::VARCHAR AS \"itemId\", p_name AS name, p_brand AS \"brandName\" FROM part")
+def src8_variant(spark, sf):
+    item = F.struct(F.col("p_partkey").cast("string").alias("itemId"), F.col("p_name").alias("name"), F.col("p_brand").alias("brandName"))
+    path = _keyword_files(spark, sf, F.struct(F.struct(F.array(item).alias("listItems")).alias("mods")))
+    return split_json.lazada_results(spark, path).drop("item")
+
+
 @query("snk1_tagged", ctes(CLIPS) + f"SELECT video_id, channel_id, {VIDEO_TAG_SQL} FROM clips")
 def snk1_tagged(spark, sf):
     path = fresh_path(spark, "videos-tagged")

@@ -9,6 +9,7 @@ records that cross from one part into the next meet in a shuffle. Fields are cut
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,35 +27,48 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
 
 
+def piece_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``PIECES`` in batches."""
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
+    names = [f.split()[0] for f in PIECES.split(", ")]
+    while some := list(islice(rows, BATCH)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names)
+
+
+def join_crossing(pieces: DataFrame, glue: str) -> DataFrame:
+    """file, block, seq, text: whole pieces, and those that cross parts of a file put together."""
+    crossing = pieces.filter("not (begins and ends)")
+    # at most two for each part of a file
+    upto = Window.partitionBy("file").orderBy("block", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    chains = crossing.withColumn("chain", F.sum(F.col("begins").cast("int")).over(upto))
+    joined = chains.groupBy("file", "chain").agg(F.array_sort(F.collect_list(F.struct("block", "seq", "text"))).alias("p")).select(
+        "file", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["seq"].alias("seq"), F.array_join(F.col("p")["text"], glue).alias("text")
+    )
+    return pieces.filter("begins and ends").select("file", "block", "seq", "text").unionByName(joined)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out: list[tuple] = []
+    yield from piece_batches(_cut(batches))
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     part = None
     held: list[str] = []  # lines of the record that is open
     begins = open_ = False
     seq = 0
-
-    def ready(least: int) -> Iterator[pa.RecordBatch]:
-        if len(out) >= least:
-            columns = zip(*out, strict=True) if out else [()] * 6
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in PIECES.split(", ")])
-            out.clear()
-
     for batch in batches:
         for file, block, line, inside in zip(*[batch[c].to_pylist() for c in ("file", "block", "line", "inside")], strict=True):
             if (file, block) != part:
                 if held:
-                    out.append((*part, seq, begins, False, "\n".join(held)))
+                    yield *part, seq, begins, False, "\n".join(held)
                 part, held, begins, open_, seq = (file, block), [], not inside, inside, 0
             held.append(line)
             open_ ^= line.count('"') % 2 == 1
             if not open_:
-                out.append((file, block, seq, begins, True, "\n".join(held)))
+                yield file, block, seq, begins, True, "\n".join(held)
                 held, begins, seq = [], True, seq + 1
-                yield from ready(BATCH)
     if held:
-        out.append((*part, seq, begins, False, "\n".join(held)))
-    yield from ready(0)
+        yield *part, seq, begins, False, "\n".join(held)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -71,14 +85,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     # Spark picks the join by the size of what was settled; the lines' order holds either way
     placed = lines.withColumn("at", F.monotonically_increasing_id()).join(parity, ["file", "block"]).sortWithinPartitions("file", "block", "at")
     pieces = settle(placed.select("file", "block", "line", "inside").mapInArrow(_pieces, PIECES), "csv-pieces")
-    crossing = pieces.filter("not (begins and ends)")
-    # at most two for each part of a file
-    upto = Window.partitionBy("file").orderBy("block", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    chains = crossing.withColumn("chain", F.sum(F.col("begins").cast("int")).over(upto))
-    joined = chains.groupBy("file", "chain").agg(F.array_sort(F.collect_list(F.struct("block", "seq", "text"))).alias("p")).select(
-        "file", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["seq"].alias("seq"), F.array_join(F.col("p")["text"], "\n").alias("text")
-    )
-    return pieces.filter("begins and ends").select("file", "block", "seq", "text").unionByName(joined)
+    return join_crossing(pieces, "\n")
 
 
 def read_split_csv(spark: SparkSession, path: str, schema: str, header: bool = True, sep: str = ",") -> DataFrame:
