@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bazaarlens.functions.terms import find_terms
 from bazaarlens.functions.text import nfkc
 from bazaarlens.operators import classify as ml
 from bazaarlens.operators import residual
@@ -233,6 +234,24 @@ def f16_nfkc(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(nfkc("text", "NFC").cast("binary")).alias("text"))
 
 
+#: Terms by rule: every pair of these syllables.
+SYLLABLES = "an ar as at ed en er es ha in io is it le nd ng nt of on or ou re se st te th the ti to und".split()
+
+
+@query(
+    "fil7_terms",
+    f"""WITH s AS (SELECT unnest({SYLLABLES}) AS s), terms AS (SELECT list(a.s || b.s) AS terms FROM s a, s b),
+        hits AS (SELECT doc_id, list_distinct(list_filter(terms, lambda t: contains(lower(text), t))) AS hit, lower(text) AS text FROM documents, terms),
+        first AS (SELECT *, list_sort(list_transform(hit, lambda t: (instr(text, t) - 1, t)))[1] AS f FROM hits)
+        SELECT doc_id, len(hit)::INT AS terms, f[2]::VARCHAR AS first_term, f[1]::INT AS first_at FROM first""",
+)
+def fil7_terms(spark, sf):
+    """A dictionary of 900 terms in one pass over every text."""
+    found = find_terms(F.lower("text"), [a + b for a in SYLLABLES for b in SYLLABLES])
+    hits = table(spark, sf, "documents").select("doc_id", found.alias("hit"))
+    return hits.select("doc_id", F.size("hit").alias("terms"), F.get("hit", F.lit(0))["term"].alias("first_term"), F.get("hit", F.lit(0))["at"].alias("first_at"))
+
+
 # streaming -------------------------------------------------------------------------------
 
 
