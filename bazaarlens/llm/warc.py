@@ -13,7 +13,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import zstandard
@@ -31,26 +33,46 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 2 << 20
 SAMPLE_RECORD = 16 << 10
 ARCHIVE_BYTES = 256 << 20
+#: Date of records that are given none.
+EPOCH = "1970-01-01T00:00:00Z"
 LEVEL = 3
 
 _PAGES = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary, offset long"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None) -> bytes:
-    """A WARC 1.1 record of an HTTP response; a revisit has its headers alone."""
+def _uri(url: str | None) -> str:
+    return "".join(c for c in url or "" if c >= " ")  # no line ends in a header
+
+
+def record(
+    page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None,
+    refers_uri: str | None = None, place: str = "", date: str = EPOCH,
+) -> bytes:
+    """A WARC 1.1 record of an HTTP response; a revisit has its headers alone.
+
+    ``place`` names the record's place in an archive and makes its id unique, whatever rows repeat. Page numbers are
+    in fields of their own, which other readers skip.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    target = "".join(c for c in url or "" if c >= " ")  # no line ends in a header
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        f"WARC-Target-URI: {target}",
+        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place} {page_id}')}>",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {_uri(url)}",
         f"WARC-Payload-Digest: sha1:{base64.b32encode(digest).decode()}",
         "Content-Type: application/http;msgtype=response",
     ]
+    if page_id is not None:
+        head.append(f"X-Page-ID: {page_id}")
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += [
+            "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+            f"WARC-Refers-To-Target-URI: {_uri(refers_uri)}",
+            f"WARC-Refers-To-Date: {date}",
+            f"X-Refers-To-Page-ID: {refers_to}",
+        ]
     head.append(f"Content-Length: {len(block)}\r\n\r\n")
     return "\r\n".join(head).encode() + block + b"\r\n\r\n"
 
@@ -62,13 +84,13 @@ def parse(data: bytes) -> dict:
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     size = int(http.rpartition(b"Content-Length: ")[2])
-    number = lambda x: int(x[len("<urn:page:") : -1]) if len(x) > len("<urn:page:>") else None
+    number = lambda x: int(fields[x]) if x in fields else None
     digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:"))
     if fields["WARC-Type"] == "response" and (len(payload) != size or hashlib.sha1(payload).digest() != digest):
         raise ValueError("a payload does not fit its digest")
     return {
-        "page_id": number(fields["WARC-Record-ID"]), "url": fields["WARC-Target-URI"], "record_type": fields["WARC-Type"],
-        "payload_bytes": size, "payload_digest": digest.hex(), "refers_to": number(fields.get("WARC-Refers-To", "<urn:page:>")),
+        "page_id": number("X-Page-ID"), "url": fields["WARC-Target-URI"], "record_type": fields["WARC-Type"],
+        "payload_bytes": size, "payload_digest": digest.hex(), "refers_to": number("X-Refers-To-Page-ID"),
         "payload": payload if fields["WARC-Type"] == "response" else None,
     }
 
@@ -134,24 +156,26 @@ def read_archive(path: str, step: int = 1 << 20) -> Iterator[tuple[int, dict]]:
         yield begin, parse(b"".join(out))
 
 
-def write_archives(pages: DataFrame, folder: str, revisit: int = REVISIT) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, revisit: int = REVISIT, date: str | None = None) -> DataFrame:
     """Write a record for every row of ``pages`` below ``folder``; returns the manifest: path, records, bytes.
 
     The payload is the html in UTF-8; NULL is empty. Of equal payloads of at least ``revisit`` bytes the record with
     the largest page_id is the response and the others refer to it; rows that repeat its page_id are responses too,
-    and rows without page_id only refer if another has one. Other columns, whatever their names, are not read.
+    and rows without page_id only refer if another has one. All records bear ``date`` (UTC, by default that of the call).
+    An empty table gives an empty manifest. Other columns, whatever their names, are not read.
     """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     html = F.coalesce(pages["html"], F.lit("")).cast("binary")
     digests = pages.select(
-        pages["page_id"].cast("long").alias("page_id"), F.length(html).alias("size"), F.sha1(html).alias("digest")
+        pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), F.length(html).alias("size"), F.sha1(html).alias("digest")
     ).filter(F.col("size") >= revisit)
-    groups = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
+    groups = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.max_by("url", "page_id").alias("refers_uri"), F.count("*").alias("n")).filter("n > 1")
     # only rows that refer to another: Spark broadcasts them while they are few
     refers = settle(
         digests.join(groups, "digest")
         .filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
         .groupBy("page_id", "digest")
-        .agg(F.max("refers_to").alias("refers_to")),
+        .agg(F.max("refers_to").alias("refers_to"), F.max("refers_uri").alias("refers_uri")),
         "revisits",
     )
 
@@ -163,10 +187,11 @@ def write_archives(pages: DataFrame, folder: str, revisit: int = REVISIT) -> Dat
             done.append((archive.path, archive.records, archive.raw))
 
         for batch in batches:
-            for page_id, url, payload, digest, refers_to in zip(*batch.columns, strict=True):
+            for page_id, url, payload, digest, refers_to, refers_uri in zip(*batch.columns, strict=True):
                 if archive is None:
                     archive = Archive(folder)
-                archive.add(record(page_id.as_py(), url.as_py(), payload.as_py(), bytes.fromhex(digest.as_py()), refers_to.as_py()))
+                raw, place = bytes.fromhex(digest.as_py()), f"{archive.path} {archive.records}"
+                archive.add(record(page_id.as_py(), url.as_py(), payload.as_py(), raw, refers_to.as_py(), refers_uri.as_py(), place, date))
                 if archive.raw >= ARCHIVE_BYTES:
                     close()
                     archive = None
@@ -178,9 +203,9 @@ def write_archives(pages: DataFrame, folder: str, revisit: int = REVISIT) -> Dat
     rows = pages.select(
         pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("payload"), F.sha1(html).alias("digest")
     )
-    other = refers.select(F.col("page_id").alias("other_id"), F.col("digest").alias("other_digest"), "refers_to")
+    other = refers.select(F.col("page_id").alias("other_id"), F.col("digest").alias("other_digest"), "refers_to", "refers_uri")
     marked = rows.join(other, rows["page_id"].eqNullSafe(other["other_id"]) & (rows["digest"] == other["other_digest"]), "left")
-    return settle(marked.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
+    return settle(marked.select("page_id", "url", "payload", "digest", "refers_to", "refers_uri").mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:

@@ -33,6 +33,27 @@ def test_native_plans(spark, name):
     assert not any(x in text for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
 
 
+def test_records_have_what_the_standard_requires(spark, tmp_path):
+    import zstandard
+
+    pages = spark.createDataFrame([(1, "http://a", "x" * 2000), (2, "http://b\r\nX-Bad: 1", "x" * 2000), (2, "http://c", "y"), (2, "http://c", "y"), (None, None, None)], "page_id long, url string, html string")
+    manifest = write_archives(pages.coalesce(1), str(tmp_path), date="2026-01-02T03:04:05Z")
+    data = open(manifest.first().path.removeprefix("file:"), "rb").read()
+    size = struct.unpack("<I", data[4:8])[0]
+    unpress, at, heads = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8 : 8 + size])), data[8 + size :], []
+    while at:
+        frame = unpress.decompressobj()
+        heads.append(frame.decompress(at).partition(b"\r\n\r\n")[0].decode().split("\r\n"))
+        at = frame.unused_data
+    fields = [dict(line.split(": ", 1) for line in h[1:]) for h in heads]
+    assert len(fields) == 5 and all(h[0] == "WARC/1.1" for h in heads)
+    for f in fields:
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "Content-Type"} <= set(f) and f["WARC-Date"] == "2026-01-02T03:04:05Z" and "X-Bad" not in f
+    assert len({f["WARC-Record-ID"] for f in fields}) == 5 and all(f["WARC-Record-ID"].startswith("<urn:uuid:") for f in fields)
+    (revisit,) = [f for f in fields if f["WARC-Type"] == "revisit"]
+    assert revisit["WARC-Refers-To-Target-URI"] == "http://bX-Bad: 1" and revisit["X-Refers-To-Page-ID"] == "2" and "WARC-Profile" in revisit
+
+
 # exact duplicates
 
 
