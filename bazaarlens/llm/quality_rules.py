@@ -174,7 +174,8 @@ def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
     counts = settle(
         narrow.mapInArrow(_counted, "lang string, kind string, key string, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "language-counts"
     )
-    totals = counts.filter("kind = 'total'").select(F.col("lang").alias("of"), F.col("n").alias("total"))
+    # a row per language: Spark broadcasts it by its size and leaves the counts where they are
+    totals = settle(counts.filter("kind = 'total'").select(F.col("lang").alias("of"), F.col("n").alias("total")), "language-totals")
     some = counts.filter("kind <> 'total'").join(totals, F.col("lang").eqNullSafe(F.col("of"))).filter((F.col("kind") == "class") | (F.col("n") * common >= F.col("total")))
 
     def listed(kind: str) -> Column:
