@@ -4,6 +4,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_packing import check
 from test_simhash import groups, plain
 
@@ -70,3 +71,29 @@ def test_empty(spark, name, stage):
 def test_least_score_follows_the_number_of_labels():
     got = [corpus_pipeline.least_score(k) for k in (1, 2, 4, 10)]
     assert got == pytest.approx([1.0, 0.5666666667, 0.35, 0.22]) and corpus_pipeline.least_score(4) == corpus_pipeline.LEAST_SCORE == 0.35
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_odd_rows(spark, name, stage):
+    """NULLs, repeats and further columns whose names the operators use themselves."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").filter("lang = 'en'").limit(60)
+    first = docs.orderBy("doc_id").first()
+    more = [first, first, (None, first.text, "en", "s", 1), (None, None, None, None, None), (-5, "", None, None, 0), (first.doc_id, "another text of that id", "en", None, 0)]
+    odd = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    names = ("queue", "tokens", "hash", "range", "text_sha256", "gone_id", "lang_pred", "score", "fingerprint", "row_key", "part", "kept")
+    for c in names:
+        odd = odd.withColumn(c, F.lit("x"))
+    got = stage(spark, odd, FOLDER)
+    if name == "packing":
+        whole = got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m"), F.sum(F.when(F.col("start") == 0, F.col("doc_tokens"))).alias("all")).collect()
+        assert all(r.n == r["all"] for r in whole) and {None, -5} <= {r.doc_id for r in whole}
+        return
+    assert got.columns == odd.columns
+    rows = [(r.doc_id, r.text) for r in got.collect()]
+    assert set(rows) <= {(r.doc_id, r.text) for r in odd.collect()}
+    if name == "language_id":
+        assert rows.count((first.doc_id, first.text)) == 3 and (None, first.text) in rows and (-5, "") not in rows
+    elif name == "exact_dedup":
+        assert rows.count((first.doc_id, first.text)) == 3 and (None, first.text) not in rows and (-5, "") in rows
+    else:
+        assert rows.count((first.doc_id, first.text)) == 1
