@@ -30,7 +30,7 @@ SHARE = 50
 #: The sieve has 2^SIEVE bits (8 MB), so at most 2^(SIEVE - 6) words of 64 bits pass the driver.
 SIEVE = 26
 #: Bytes of text that are counted together, words that are looked up at once.
-TOGETHER, LOOKUP = 16 << 20, 1 << 19
+TOGETHER, LOOKUP = 10 << 20, 1 << 18
 #: Edges of a path in one row; longer paths go on in the next.
 PATH = 4096
 #: A language is first ranked in so many parts, so no task ranks all its phrases.
