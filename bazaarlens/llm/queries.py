@@ -11,7 +11,7 @@ from bazaarlens.llm.language_crf import predict_languages, train
 from bazaarlens.llm.licence_rules import check_sql, licences
 from bazaarlens.llm.packing import pack
 from bazaarlens.llm.phrase_graph import collocations
-from bazaarlens.llm.preference import preferences, swapped_answers
+from bazaarlens.llm.preference import edited_preferences, swapped_answers
 from bazaarlens.llm.prefix_bpe import encode_documents
 from bazaarlens.llm.prefix_trie import prefix_trie
 from bazaarlens.llm.quality_rules import quality
@@ -88,7 +88,7 @@ def op3_block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op4_preference(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations")
-    return preferences(turns.withColumnRenamed("conv_id", "pair_id"), swapped_answers(turns))
+    return edited_preferences(turns.withColumnRenamed("conv_id", "pair_id"), swapped_answers(turns))
 
 
 @query("op5_prefix_bpe")

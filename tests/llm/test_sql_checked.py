@@ -15,7 +15,7 @@ from bazaarlens.llm import warc
 from bazaarlens.llm.block_neighbours import Tiles, nearest
 from bazaarlens.llm.exact_dedup import drop_duplicates, duplicates
 from bazaarlens.llm.licence_rules import licences
-from bazaarlens.llm.preference import preferences, records
+from bazaarlens.llm.preference import edited_preferences, preferences, records, swapped_answers
 from bazaarlens.llm.queries import ORACLE, QUERIES
 from bazaarlens.llm.warc import Archive, parse, read_archive, read_archives, record, write_archives
 
@@ -312,6 +312,60 @@ def test_preferences(spark):
     assert preferences(frame(good[:0]), frame(bad[:0])).count() == 0
 
 
+def _paired_by_hand(good, bad):
+    """Rows of both sides (pair_id, turn, role, text), turn by turn."""
+    order = lambda r: (r[1], r[2] is not None, r[2] or "", r[3] is not None, r[3] or "")
+    out = set()
+    for pair in {r[0] for r in good + bad if r[0] is not None}:
+        sides = []
+        for rows in (good, bad):
+            own = sorted({(p, -1 if t is None else t, role, text) for p, t, role, text in rows if p == pair}, key=order)
+            at, placed = 0, []
+            for i, (_, turn, role, text) in enumerate(own):
+                rendered = f"<|im_start|>{role or ''}\n{text or ''}<|im_end|>\n"
+                copy = 1 + sum(x[1] == turn for x in own[:i])
+                placed.append((pair, turn, copy, role, rendered, at, at + len(rendered), text))
+                at += len(rendered)
+            sides.append(placed)
+        same = 0
+        while same < min(map(len, sides)) and sides[0][same] == sides[1][same]:
+            same += 1
+        out |= {("prompt", *x[:-1], False) for x in sides[0][:same]}
+        for name, side in zip(("chosen", "rejected"), sides, strict=True):
+            out |= {(name, *x[:-1], x[3] == "assistant") for x in side[same:]}
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_preferences_by_hand(spark, seed, monkeypatch):
+    pick = random.Random(seed)
+    monkeypatch.setattr("bazaarlens.llm.preference.STRETCH", 4)
+    some = lambda n: [(pick.choice([None, 0, 1, 2, 3]), pick.choice([None, *range(-2, 12)]), pick.choice([None, "user", "assistant"]), pick.choice([None, "", "a", "b é"])) for _ in range(n)]
+    good, changes = some(60), some(6)
+    # ids far from the others are on one side only
+    good, bad = good + [(7, 1, "user", "x")], good + changes + [(8, 2, "assistant", "y")] * 2
+    schema = "pair_id long, turn long, role string, text string, part string, n long"
+    frame = lambda rows: spark.createDataFrame([(*r, "p", 1) for r in rows], schema)
+    read = lambda out: [(r.part, r.pair_id, r.turn, r.copy, r.role, r.rendered, r.char_start, r.char_end, r.trained) for r in out.collect()]
+    rows = read(preferences(frame(good), frame(bad)))
+    assert len(rows) == len(set(rows)) and set(rows) == _paired_by_hand(good, bad)
+    # edits: the same as both sides written out
+    at = lambda r: (r[0], -1 if r[1] is None else r[1], r[2])
+    gone = {at(r) for r in changes}
+    rows = read(edited_preferences(frame(good), frame(changes)))
+    assert len(rows) == len(set(rows)) and set(rows) == _paired_by_hand(good, [r for r in good if at(r) not in gone] + changes)
+
+
+def test_swapped_answers(spark):
+    rows = [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 3, "assistant", "b"), (1, 5, "assistant", "c"), (1, 5, "assistant", "d"), (1, 5, "assistant", "d")]
+    rows += [(2, 0, "assistant", "alone"), (None, 0, "assistant", "x"), (4, None, "assistant", "no turn"), (5, 0, "assistant", "y"), (-1, 0, "assistant", None), (-2, 0, "assistant", "z")]
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn int, role string, text string, pair_id int")
+    want = {(0, 3, "assistant", "d"), (1, 5, "assistant", "b"), (-1, 0, "assistant", "z"), (-2, 0, "assistant", "")}
+    got = [tuple(r) for r in swapped_answers(frame).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert swapped_answers(frame.limit(0)).count() == 0
+
+
 def test_long_conversations(spark):
     one = spark.range(1500).select(F.lit(1).alias("pair_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
     other = one.withColumn("text", F.when(F.col("turn") == 1000, "changed").otherwise(F.col("text")))
