@@ -61,8 +61,10 @@ def _paired(sides: DataFrame, trained: Sequence[str]) -> DataFrame:
     """
     key = ["pair_id", "turn", "role", "text"]
     distinct = sides.filter(F.col("pair_id").isNotNull()).groupBy(*key).agg(*[F.max(c).alias(c) for c in ("good", "bad", "edit")])
+    # never NULL: the join's test for it would keep the two branches from sharing their first exchange
+    stretch_of = F.coalesce(F.floor(F.col("turn") / STRETCH), F.lit(0)).alias("stretch")
     rows = distinct.select(
-        *key, F.floor(F.col("turn") / STRETCH).alias("stretch"), F.length(render(F.col("role"), F.col("text"))).cast("long").alias("n"), "good", "bad", "edit"
+        *key, stretch_of, F.length(render(F.col("role"), F.col("text"))).cast("long").alias("n"), "good", "bad", "edit"
     ).repartition("pair_id", "stretch")
     stretch = ["pair_id", "stretch"]
     of_turn = Window.partitionBy(*stretch, "turn", "role")
