@@ -11,6 +11,8 @@ import struct
 import numpy as np
 
 SAMPLE = 256
+#: Values that are packed together; a multiple of 8, so that their low bits fill whole bytes.
+BLOCK = 1 << 16
 _HEAD = struct.Struct("<QQI")
 # the place of the n-th set bit of a byte, least significant first
 _PLACES = [[b for b in range(8) if x >> b & 1] for x in range(256)]
@@ -31,16 +33,20 @@ class EliasFano:
         values = np.asarray(values, np.uint64)
         count, top = len(values), int(values[-1]) if len(values) else 0
         bits = cls.low_bits(count, top)
-        low = np.zeros(count * bits, np.uint8)
-        for b in range(bits):
-            low[b::bits] = (values >> np.uint64(b)).astype(np.uint8) & 1
-        set_at = (values >> np.uint64(bits)).astype(np.int64) + np.arange(count)
-        high = np.zeros(int(set_at[-1]) + 1 if count else 0, np.uint8)
-        high[set_at] = 1
-        if len(high) >= 1 << 32:
+        size = (top >> bits) + count if count else 0
+        if size >= 1 << 32:
             raise ValueError("too many values for one file")
-        pack = lambda x: np.packbits(x, bitorder="little")
-        return cls(count, top, pack(low), pack(high), set_at[::SAMPLE].astype("<u4"))
+        low, high, samples = [], np.zeros((size + 7) // 8, np.uint8), []
+        for first in range(0, count, BLOCK):
+            block = values[first : first + BLOCK]
+            apart = np.empty(len(block) * bits, np.uint8)
+            for b in range(bits):
+                apart[b::bits] = (block >> np.uint64(b)).astype(np.uint8) & 1
+            low.append(np.packbits(apart, bitorder="little"))
+            set_at = (block >> np.uint64(bits)).astype(np.int64) + np.arange(first, first + len(block))
+            np.bitwise_or.at(high, set_at >> 3, np.uint8(1) << (set_at & 7).astype(np.uint8))
+            samples.append(set_at[::SAMPLE].astype("<u4"))
+        return cls(count, top, np.concatenate([np.zeros(0, np.uint8), *low]), high, np.concatenate([np.zeros(0, "<u4"), *samples]))
 
     def __len__(self) -> int:
         return self.count
@@ -49,22 +55,37 @@ class EliasFano:
         """One value, by the select structure."""
         if not 0 <= i < self.count:
             raise IndexError(i)
+        high = self._select(i) - i
+        first = i * self._bits
+        low = int.from_bytes(self._low[first >> 3 : (first + self._bits + 7) >> 3].tobytes(), "little") >> (first & 7)
+        return high << self._bits | low & (1 << self._bits) - 1
+
+    def _select(self, i: int) -> int:
+        """Place of the i-th set bit: from the sample before it on, bits are counted."""
         at, left = int(self._samples[i // SAMPLE]), i % SAMPLE
         byte, word = at >> 3, int(self._high[at >> 3]) & 0xFF << (at & 7) & 0xFF
         while left >= word.bit_count():
             left -= word.bit_count()
             byte += 1
             word = int(self._high[byte])
-        high = 8 * byte + _PLACES[word][left] - i
-        first = i * self._bits
-        low = int.from_bytes(self._low[first >> 3 : (first + self._bits + 7) >> 3].tobytes(), "little") >> (first & 7)
-        return high << self._bits | low & (1 << self._bits) - 1
+        return 8 * byte + _PLACES[word][left]
+
+    def values(self, first: int = 0, last: int | None = None) -> np.ndarray:
+        """The values ``first`` to ``last`` (without it; all by default); memory goes with their number.
 
-    def values(self) -> np.ndarray:
-        """All values."""
-        high = np.flatnonzero(np.unpackbits(self._high, bitorder="little")) - np.arange(self.count)
-        out = high.astype(np.int64) << self._bits
-        low = np.unpackbits(self._low, bitorder="little", count=self.count * self._bits)
+        Both ends are found by the select structure, and only the bits between them are unpacked.
+        """
+        last = self.count if last is None else min(last, self.count)
+        if first >= last:
+            return np.zeros(0, np.int64)
+        begin, end = self._select(first), self._select(last - 1)
+        byte = begin >> 3
+        set_at = np.flatnonzero(np.unpackbits(self._high[byte : (end >> 3) + 1], bitorder="little")) + 8 * byte
+        # the first and last byte may hold neighbours
+        set_at = set_at[(set_at >= begin) & (set_at <= end)]
+        out = (set_at - np.arange(first, last)).astype(np.int64) << self._bits
+        bit = first * self._bits
+        low = np.unpackbits(self._low[bit >> 3 : (last * self._bits + 7) >> 3], bitorder="little")[bit & 7 :][: (last - first) * self._bits]
         for b in range(self._bits):
             out |= low[b :: self._bits].astype(np.int64) << b
         return out

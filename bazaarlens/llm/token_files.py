@@ -2,13 +2,15 @@
 
 A file holds the ids (little-endian, 16 or 32 bits), then the documents' ends and their doc_ids, both Elias-Fano
 coded, then a footer of fixed size. Documents are in ascending doc_id order through all files; the manifest names
-the files in order. Ids are streamed, so a writer holds one document and its file's list of ends.
+the files in order. Ids are streamed, so a writer holds the ids of a few documents and 16 bytes for each document of its
+file; a reader holds the coded boundaries as they are and selects those of some documents at a time.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,10 @@ from bazaarlens.session import settle
 MAGIC = b"BZTOKEN1"
 #: A file is closed when it holds this many ids.
 FILE_TOKENS = 1 << 27
+#: Or this many documents.
+FILE_DOCS = 1 << 22
+#: Ids that a reader holds together, or one document.
+READ_TOKENS = 1 << 20
 #: Texts that are encoded together.
 BATCH = 1250
 # documents, of these without doc_id (they come first), smallest doc_id, bytes of an id, bytes of the two lists
@@ -36,7 +42,7 @@ _DOCS = "doc_id long, at long, n_tokens long, ids_crc32 long, ids binary"
 class _Writer:
     def __init__(self, folder: str, name: str, dtype: np.dtype):
         self.path, self.out = new_file(folder, name)
-        self.dtype, self.ends, self.doc_ids, self.unknown, self.tokens = dtype, [], [], 0, 0
+        self.dtype, self.ends, self.doc_ids, self.unknown, self.tokens = dtype, array("q"), array("q"), 0, 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.out.write(ids.tobytes())
@@ -49,8 +55,8 @@ class _Writer:
 
     def close(self) -> None:
         least = self.doc_ids[0] if self.doc_ids else 0
-        steps = np.array(self.doc_ids, np.int64).view(np.uint64) - np.int64(least).view(np.uint64)
-        lists = EliasFano.of(np.array(self.ends)).to_bytes() + EliasFano.of(steps).to_bytes()
+        steps = np.frombuffer(self.doc_ids, np.uint64) - np.int64(least).view(np.uint64)
+        lists = EliasFano.of(np.frombuffer(self.ends, np.uint64)).to_bytes() + EliasFano.of(steps).to_bytes()
         self.out.write(lists)
         self.out.write(_FOOTER.pack(len(self.ends), self.unknown, least, self.dtype.itemsize, len(lists), MAGIC))
         self.out.close()
@@ -72,8 +78,15 @@ class TokenFile:
         self.ends, at = EliasFano.from_bytes(data)
         self._steps, _ = EliasFano.from_bytes(data, at)
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.unknown + (self._steps.values() + self._least).tolist()
+    def doc_ids(self, first: int = 0, last: int | None = None) -> list[int | None]:
+        """Of the documents ``first`` to ``last`` (without it; by default of all)."""
+        last = self.docs if last is None else min(last, self.docs)
+        known = self._steps.values(max(first - self.unknown, 0), max(last - self.unknown, 0)) + self._least
+        return [None] * max(0, min(last, self.unknown) - first) + known.tolist()
+
+    def bounds(self, first: int, last: int) -> np.ndarray:
+        """Where the documents ``first`` to ``last`` (without it) begin, and where the last of them ends."""
+        return np.concatenate([[self.ends[first - 1] if first else 0], self.ends.values(first, last)])
 
     def ids(self, first: int, last: int | None = None) -> np.ndarray:
         """Ids of the documents ``first`` to ``last`` (without it; by default of one document)."""
@@ -107,7 +120,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int | Non
                     if file is None:
                         file = _Writer(folder, f"part-{part:06d}-{number:04d}", words.dtype)
                     file.add(doc_id, np.concatenate([ids, end]))
-                    if file.tokens >= FILE_TOKENS:
+                    if file.tokens >= FILE_TOKENS or len(file.ends) >= FILE_DOCS:
                         close()
                         file, number = None, number + 1
         if file is not None:
@@ -126,6 +139,26 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int | Non
     )
 
 
+def _documents(file: TokenFile, base: int, step: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """The documents of a file: ``step`` boundaries are selected at a time, and as many texts read as READ_TOKENS allow, at least one."""
+    for at in range(0, file.docs, step):
+        bounds, first = file.bounds(at, at + step), 0
+        while first < len(bounds) - 1:
+            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + READ_TOKENS, "right")) - 1)
+            cut = bounds[first : last + 1]
+            data = memoryview(file.ids(at + first, at + last).astype("<u4").tobytes())
+            own = [data[4 * a : 4 * b] for a, b in zip((cut[:-1] - cut[0]).tolist(), (cut[1:] - cut[0]).tolist())]
+            yield pa.record_batch(
+                [
+                    pa.array(file.doc_ids(at + first, at + last), pa.int64()), pa.array(cut[:-1] + base), pa.array(np.diff(cut)),
+                    pa.array([zlib.crc32(x) for x in own], pa.int64()),
+                    pa.array([bytes(x) if with_ids else None for x in own], pa.binary()),
+                ],
+                names=["doc_id", "at", "n_tokens", "ids_crc32", "ids"],
+            )
+            first = last
+
+
 def read_token_files(manifest: DataFrame, with_ids: bool = False, step: int = 1024) -> DataFrame:
     """Documents of the files in order: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, ids.
 
@@ -136,20 +169,7 @@ def read_token_files(manifest: DataFrame, with_ids: bool = False, step: int = 10
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(*batch.columns, strict=True):
-                file = TokenFile(path.as_py())
-                names, ends = file.doc_ids(), np.concatenate([[0], file.ends.values()])
-                for at in range(0, file.docs, step):
-                    cut = ends[at : at + step + 1]
-                    data = memoryview(file.ids(at, at + len(cut) - 1).astype("<u4").tobytes())
-                    own = [data[4 * a : 4 * b] for a, b in zip((cut[:-1] - cut[0]).tolist(), (cut[1:] - cut[0]).tolist())]
-                    yield pa.record_batch(
-                        [
-                            pa.array(names[at : at + step], pa.int64()), pa.array(cut[:-1] + base.as_py()), pa.array(np.diff(cut)),
-                            pa.array([zlib.crc32(x) for x in own], pa.int64()),
-                            pa.array([bytes(x) if with_ids else None for x in own], pa.binary()),
-                        ],
-                        names=["doc_id", "at", "n_tokens", "ids_crc32", "ids"],
-                    )
+                yield from _documents(TokenFile(path.as_py()), base.as_py(), step, with_ids)
 
     # one row per file, and a file holds up to FILE_TOKENS ids: the window sees a short list
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)

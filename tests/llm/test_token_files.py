@@ -89,3 +89,61 @@ def test_large_tables_make_many_files(spark, tmp_path, monkeypatch):
     file.close()
     read = TokenFile(file.path)
     assert read.doc_ids() == list(range(0, 2100, 3)) and read.ids(0, 700).tolist() == words.encode("a b c").tolist() * 700
+
+
+@pytest.mark.parametrize("count,top", [(1, 0), (700, 10**12), (3000, 40), (200_000, 10**6), (70_000, 2**62)])
+def test_stretches_of_values(count, top):
+    pick = random.Random(count)
+    values = sorted(pick.randrange(top + 1) for _ in range(count))
+    coded = EliasFano.of(np.array(values))
+    for first in [0, 1, 255, 256, count - 1, count, *(pick.randrange(count) for _ in range(50))]:
+        last = min(count, first + pick.choice([0, 1, 7, 300]))
+        assert coded.values(first, last).tolist() == values[first:last]
+    assert coded.values().tolist() == values and coded.values(count // 2).tolist() == values[count // 2 :]
+
+
+def test_reader_holds_a_stretch_of_a_large_file(spark, tmp_path, monkeypatch):
+    import tracemalloc
+
+    file = token_files._Writer(str(tmp_path), "part", np.dtype("<u2"))
+    one = np.array([1], "<u2")
+    for i in range(1_000_000):
+        file.add(None if i < 1500 else 3 * i, one)
+    file.close()
+    tracemalloc.start()
+    read = TokenFile(file.path)
+    for at in range(0, read.docs, 1 << 16):
+        assert read.bounds(at, at + 1024).tolist() == list(range(at, at + 1025))[: read.docs - at + 1]
+        assert read.doc_ids(at, at + 1024) == [None if i < 1500 else 3 * i for i in range(at, min(at + 1024, read.docs))]
+    # the coded lists (under six bits of a document) and little more
+    assert tracemalloc.get_traced_memory()[1] < 4_000_000
+    tracemalloc.stop()
+    assert read.doc_ids(1400, 1600) == [None] * 100 + [3 * i for i in range(1500, 1600)]
+
+
+@pytest.mark.parametrize("most", [1, 5, 40])
+def test_files_by_documents_and_reads_by_ids(spark, tmp_path, monkeypatch, most):
+    docs = [(i, "a b " * (i % 7)) for i in range(60)] + [(None, "x")] * 3
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(token_files, "FILE_DOCS", most)
+    monkeypatch.setattr(token_files, "READ_TOKENS", most)
+    read = _in_process(frame)
+    assert sorted(read, key=lambda r: r[1]) == want(docs)
+
+
+def _in_process(frame):
+    """Write and read in this process, so that the changed bounds hold."""
+    import tempfile
+
+    words, rows, folder = token_files.store(PATH, "word"), [], tempfile.mkdtemp()
+    docs = sorted(map(tuple, frame.collect()), key=lambda x: (x[0] is not None, x[0] or 0))
+    base = 0
+    for n in range(0, len(docs), token_files.FILE_DOCS):
+        file = token_files._Writer(folder, f"part-{n}", words.dtype)
+        for doc_id, text in docs[n : n + token_files.FILE_DOCS]:
+            file.add(doc_id, np.append(words.encode(text or ""), 1).astype(words.dtype))
+        file.close()
+        for batch in token_files._documents(TokenFile(file.path), base, 16, False):
+            rows += [tuple(r.values())[:4] for r in batch.to_pylist()]
+        base += file.tokens
+    return rows
