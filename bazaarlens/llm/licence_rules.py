@@ -8,6 +8,7 @@ A line break is soft: a known sentence may begin or end at it, and may also run
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Collection, Mapping, Sequence
 
@@ -16,9 +17,6 @@ from pyspark.sql import functions as F
 
 #: Known sentences, normalised: identifier by text. Behind a star at the begin, other words of the sentence may stand first.
 SENTENCES = {
-    "released under the mit license": "mit_name",
-    "licensed under the mit license": "mit_name",
-    "this project is licensed under the mit license": "mit_name",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit_grant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit_notice",
     "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as_is_software",
@@ -54,6 +52,71 @@ SENTENCES = {
     "all rights reserved": "reserved",
 }
 
+#: Fixed wording of further licences.
+SENTENCES |= {
+    "this library is free software": "gpl_free",
+    "this software is free software": "gpl_free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "gpl2_name",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 only as published by the free software foundation": "gpl2_name",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation": "gpl3_name",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl2_name",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl2_name",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc_name",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc_name",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd_name",
+    "this is free and unencumbered software released into the public domain": "unlicense_name",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib_name",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl2_name",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0 which is available at https www eclipse org legal epl 2 0": "epl2_name",
+}
+
+#: Licences by name: identifier, licence, its key in tags, and its names in notices.
+NAMED = [
+    ("mit_name", "MIT", "mit", ("mit license",)),
+    ("apache_name", "Apache-2.0", "apache 2 0", ("apache license version 2 0", "apache license 2 0")),
+    ("gpl2_name", "GPL-2.0-only", "gpl 2 0 only", ("gnu general public license version 2",)),
+    ("gpl2_later", "GPL-2.0-or-later", "gpl 2 0 or later", ("gnu general public license version 2 or later",)),
+    ("gpl3_name", "GPL-3.0-only", "gpl 3 0 only", ("gnu general public license version 3",)),
+    ("gpl3_later", "GPL-3.0-or-later", "gpl 3 0 or later", ("gnu general public license version 3 or later",)),
+    ("lgpl21_name", "LGPL-2.1-only", "lgpl 2 1 only", ("gnu lesser general public license version 2 1",)),
+    ("lgpl21_later", "LGPL-2.1-or-later", "lgpl 2 1 or later", ("gnu lesser general public license version 2 1 or later",)),
+    ("lgpl3_name", "LGPL-3.0-only", "lgpl 3 0 only", ("gnu lesser general public license version 3",)),
+    ("lgpl3_later", "LGPL-3.0-or-later", "lgpl 3 0 or later", ("gnu lesser general public license version 3 or later",)),
+    ("agpl3_name", "AGPL-3.0-only", "agpl 3 0 only", ("gnu affero general public license version 3",)),
+    ("agpl3_later", "AGPL-3.0-or-later", "agpl 3 0 or later", ("gnu affero general public license version 3 or later",)),
+    ("mpl2_name", "MPL-2.0", "mpl 2 0", ("mozilla public license version 2 0", "mozilla public license 2 0")),
+    ("isc_name", "ISC", "isc", ("isc license",)),
+    ("0bsd_name", "0BSD", "0bsd", ()),
+    ("bsd2_name", "BSD-2-Clause", "bsd 2 clause", ("bsd 2 clause license",)),
+    ("bsd3_name", "BSD-3-Clause", "bsd 3 clause", ("bsd 3 clause license",)),
+    ("zlib_name", "Zlib", "zlib", ("zlib license",)),
+    ("bsl_name", "BSL-1.0", "bsl 1 0", ("boost software license version 1 0",)),
+    ("epl2_name", "EPL-2.0", "epl 2 0", ("eclipse public license 2 0", "eclipse public license version 2 0")),
+    ("unlicense_name", "Unlicense", "unlicense", ("unlicense",)),
+    ("cc0_name", "CC0-1.0", "cc0 1 0", ()),
+    ("ccbync4_name", "CC-BY-NC-4.0", "cc by nc 4 0", ()),
+    ("ccbysa4_name", "CC-BY-SA-4.0", "cc by sa 4 0", ()),
+    ("ccby4_name", "CC-BY-4.0", "cc by 4 0", ()),
+]
+_THINGS = ("project", "software", "program", "library", "package", "code", "file", "work")
+_VERBS = ("licensed", "released", "distributed")
+_OPENINGS = [f"{v} under" for v in _VERBS] + [f"this {t} is {v} under" for t in _THINGS for v in _VERBS]
+for _id, _, _tag, _names in NAMED:
+    SENTENCES[f"spdx license identifier {_tag}"] = _id
+    SENTENCES |= {f"{o} {the} {n}": _id for o in _OPENINGS for the in ("the", "the terms of the") for n in _names}
+
+#: Licences of one family: identifiers' begin, name in the grant, and versions with the licence they give.
+_FAMILIES = [
+    ("lgpl", "gnu lesser general public license", {"2 1": "LGPL-2.1-or-later", "3": "LGPL-3.0-or-later"}),
+    ("agpl", "gnu affero general public license", {"3": "AGPL-3.0-or-later"}),
+]
+_GRANT = "you can redistribute it and or modify it under the terms of the {} as published by the free software foundation"
+_LATER = "either version {} of the license or at your option any later version"
+SENTENCES[_LATER.format("2 1")] = "gpl21_or_later"
+for _id, _name, _versions in _FAMILIES:
+    SENTENCES[_GRANT.format(_name)] = f"{_id}_redistribute"
+    SENTENCES |= {f"{_GRANT.format(_name)} {_LATER.format(v)}": f"{_id}{v.replace(' ', '')}_redistribute" for v in _versions}
+
 #: Rules in the order in which they are tried: licence and the identifiers that must follow each other.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit_grant", "mit_notice", "as_is_software")),
@@ -66,16 +129,21 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("GPL-2.0-or-later", ("gpl_redistribute", "gpl2_or_later")),
     ("GPL-3.0-or-later", ("gpl3_redistribute",)),
     ("GPL-2.0-or-later", ("gpl2_redistribute",)),
+    *[
+        (licence, (*free, *ids))
+        for family, _, versions in _FAMILIES
+        for v, licence in versions.items()
+        for n in [v.replace(" ", "")]
+        for free in (("gpl_free",), ())
+        for ids in ((f"{family}_redistribute", f"gpl{n}_or_later"), (f"{family}{n}_redistribute",))
+    ],
+    ("GPL-2.0-only", ("gpl_free", "gpl2_name")),
+    ("GPL-3.0-only", ("gpl_free", "gpl3_name")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_as_is")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is")),
     ("Apache-2.0", ("apache_name", "apache_compliance")),
     ("MIT", ("mit_grant", "mit_notice")),
-    ("MIT", ("mit_name",)),
-    ("Apache-2.0", ("apache_name",)),
-    ("GPL-3.0-only", ("gpl3_name",)),
-    ("CC-BY-NC-4.0", ("ccbync4_name",)),
-    ("CC-BY-SA-4.0", ("ccbysa4_name",)),
-    ("CC-BY-4.0", ("ccby4_name",)),
+    *[(licence, (name,)) for name, licence, _, _ in NAMED],
     ("Proprietary", ("reserved",)),
 ]
 # reserved rights right before a licence are of its copyright line
@@ -87,29 +155,45 @@ ENDS = r"[.;:!?][ \t\r\n]+|[\r\n]+"
 MARKS = r"[^a-z0-9]+"
 #: What lines begin with in comments and lists.
 LEADERS = r"(^|\n)[^a-z0-9\n]*(?:(?:dnl|rem)\b[^a-z0-9\n]*)?(?:[0-9a-z]{1,2}\)[ \t]+)?"
+#: A tag and its licence are one sentence, though a colon stands between them.
+TAG, ONE_TAG = "spdx-license-identifier: ", "spdx license identifier "
 #: Ends that no sentence runs over become this, which is not in lower case; others stay line breaks.
 HARD = "A"
 
 
 def _words(text: Column) -> Column:
     """Words with one blank, line break or hard end between them."""
-    lines = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), LEADERS, "$1")
+    lines = F.regexp_replace(F.regexp_replace(F.replace(F.lower(text), F.lit(TAG), F.lit(ONE_TAG)), r"\r\n?", "\n"), LEADERS, "$1")
     ends = F.regexp_replace(lines, r"[.;:!?][ \t\n]|\n\n", HARD)
     blanks = F.trim(F.regexp_replace(ends, rf"[^a-z0-9{HARD}\n]+", " "))
     return F.regexp_replace(F.regexp_replace(blanks, rf"[ \n]*{HARD}[ \n{HARD}]*", HARD), r" ?\n[ \n]*", "\n")
 
 
-def _pattern(sentences: Collection[str]) -> str:
-    """A break, then one of the sentences, longest first, as group 1, up to a break."""
+def _either(sentences: Collection[str]) -> str:
+    """One of the sentences, the longest that fits: a tree of their words, so that common beginnings are read once."""
+    tree: dict = {}
+    for sentence in sentences:
+        node = tree
+        for word in sentence.split(" "):
+            node = node.setdefault(word, {})
+        node[""] = {}
+
+    def then(node: dict) -> str:
+        words = sorted(w for w in node if w)
+        if not words:
+            return ""
+        after = [re.escape(w) + then(node[w]) for w in words]
+        rest = r"[ \n]" + (after[0] if len(after) == 1 else f"(?:{'|'.join(after)})")
+        return f"(?:{rest})?" if "" in node else rest
 
-    def either(some: list[str]) -> str:
-        return "|".join(x.replace(" ", r"[ \n]") for x in sorted(some, key=lambda x: (-len(x), x))) or "(?!)"
+    return "|".join(re.escape(w) + then(tree[w]) for w in sorted(tree)) or "(?!)"
 
-    whole = [re.escape(s).replace(r"\ ", " ") for s in sentences if not s.startswith("* ")]
-    tails = [re.escape(s[2:]).replace(r"\ ", " ") for s in sentences if s.startswith("* ")]
-    # lookaheads, so that both kinds can share group 1
-    before = rf"(?:(?=(?:{either(whole)})(?:[{HARD}\n]|\z))|(?:[a-z0-9]+[ \n]){{1,40}}?(?=(?:{either(tails)})(?:[{HARD}\n]|\z)))"
-    return rf"(?:^|[{HARD}\n]){before}({either(whole + tails)})(?=[{HARD}\n]|\z)"
+
+def _pattern(sentences: Collection[str]) -> str:
+    """A break and a sentence, or a blank inside a sentence and a known end, up to a break."""
+    whole = _either([s for s in sentences if not s.startswith("* ")])
+    tails = _either([s[2:] for s in sentences if s.startswith("* ")])
+    return rf"(?:(?:^|[{HARD}\n])(?:{whole})|(?<=[a-z0-9])[ \n](?:{tails}))(?=[{HARD}\n]|\z)"
 
 
 def _sequence(ids: Sequence[str]) -> str:
@@ -128,9 +212,10 @@ def licences(
     wrapped, and stand in comments; blank lines and marks before a blank end them. NULL texts are empty; rows are independent, so repeated rows give repeated
     results; an empty table gives no rows; other columns, whatever their names, are not read.
     """
-    known = F.create_map(*[F.lit(x.removeprefix("* ")) for pair in sentences.items() for x in pair])
-    found = F.regexp_extract_all(_words(F.coalesce(docs["text"], F.lit(""))), F.lit(_pattern(sentences)), 1)
-    ids = F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
+    # one constant, however many sentences there are
+    known = F.from_json(F.lit(json.dumps({s.removeprefix("* "): i for s, i in sentences.items()})), "map<string,string>")
+    found = F.regexp_extract_all(_words(F.coalesce(docs["text"], F.lit(""))), F.lit(_pattern(sentences)), 0)
+    ids = F.transform(found, lambda s: F.try_element_at(known, F.trim(F.translate(s, f"\n{HARD}", "  "))))
     steps = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_sequence(ids_)).alias("ids")) for name, ids_ in rules])
     start = F.struct(F.col("all").alias("rest"), F.array().cast("array<string>").alias("names"))
     # what a rule took leaves a bar, so that no sequence is put together across it
@@ -158,8 +243,8 @@ def check_sql() -> str:
     known = "map([" + ", ".join(f"'{s}'" for s in SENTENCES) + "], [" + ", ".join(f"'{i}'" for i in SENTENCES.values()) + "])"
     sql = f"""
         SELECT doc_id, ids, array_to_string(list_transform(ids, lambda i: ' ' || i || ','), '') AS r0
-        FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '{ENDS}'),
-            lambda s: {known}[trim(regexp_replace(lower(s), '{MARKS}', ' ', 'g'))]), lambda i: i IS NOT NULL) AS ids FROM documents)
+        FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(replace(lower(coalesce(text, '')), '{TAG}', '{ONE_TAG}'), '{ENDS}'),
+            lambda s: {known}[trim(regexp_replace(s, '{MARKS}', ' ', 'g'))]), lambda i: i IS NOT NULL) AS ids FROM documents)
     """
     seen: dict[str, list[int]] = {}
     names = []

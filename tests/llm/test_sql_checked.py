@@ -280,6 +280,49 @@ def test_wrapped_licences(spark, begin, leader, end):
     assert got == {name: (name.strip(), "") for name, _ in rows}
 
 
+NOTICES = {
+    "This project is licensed under the terms of the MIT license.": "MIT",
+    "// SPDX-License-Identifier: MIT": "MIT",
+    "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0-or-later",
+    "Released under the BSD 3-Clause License.": "BSD-3-Clause",
+    "This software is distributed under the\nBoost Software License, Version 1.0.": "BSL-1.0",
+    """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""": "LGPL-2.1-or-later",
+    """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU Affero General Public License as published
+    by the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.""": "AGPL-3.0-or-later",
+    """ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License version 2 as
+ * published by the Free Software Foundation.""": "GPL-2.0-only",
+    """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""": "MPL-2.0",
+    """Copyright (c) 2020 A Body
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""": "ISC",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    """This software is provided 'as-is', without any express or implied warranty.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""": "Zlib",
+    # a known end is found however many words stand before it
+    WRAPPED["BSD-3-Clause"].replace("name of A Body", "name of A Body " + "and another body " * 200): "BSD-3-Clause",
+    "Neither " + "word " * 100_000 + "is licensed": "",
+}
+
+
+def test_notices(spark):
+    docs = spark.createDataFrame(list(enumerate(NOTICES)), "doc_id long, text string")
+    got = {list(NOTICES)[r.doc_id]: (r.licences, r.unmatched) for r in licences(docs).collect()}
+    assert got == {text: (licence, "") for text, licence in NOTICES.items()}
+
+
 def test_sentences_end_at_marks_and_blank_lines(spark):
     texts = ["Released under.\nThe MIT License", "Released\n\nunder the MIT License", "# Released\n#\n# under the MIT License", "not released under the MIT License"]
     texts += ["é。" * 300_000 + "a", "a\n" * 300_000, "; " * 300_000, "a " * 300_000]
