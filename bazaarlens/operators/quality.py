@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.columns import half_even, ratio
 from bazaarlens.operators.ranking import group_quantiles
+from bazaarlens.session import settle
 
 
 def compare_totals(before: DataFrame, after: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -94,22 +95,25 @@ def id_check(df: DataFrame, key: str) -> DataFrame:
 def profile_nulls_outliers(df: DataFrame, columns: Sequence[str], fence: float = 1.5) -> DataFrame:
     """NULL rate and rows outside the quartile fences, one row per column.
 
-    The quartiles are exact and never gather a column in one task.
+    The rows are read once: equal values are counted, and all figures come from the counts. The quartiles are exact and
+    never gather a column in one task.
     """
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])))
-    quart = group_quantiles(long, ["column"], {"q1": (F.col("value"), 0.25), "q3": (F.col("value"), 0.75)})
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    counts = settle(df.select(F.inline(values)).groupBy("column", "value").agg(F.count("*").alias("n")), "profile")
+    quart = group_quantiles(counts, ["column"], {"q1": (F.col("value"), 0.25), "q3": (F.col("value"), 0.75)}, weight="n")
     low = F.col("q1") - fence * (F.col("q3") - F.col("q1"))
     high = F.col("q3") + fence * (F.col("q3") - F.col("q1"))
+    rows = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
     # one row per profiled column
     return (
-        long.join(F.broadcast(quart), "column", "left")
+        counts.join(F.broadcast(quart), "column", "left")
         .groupBy("column")
         .agg(
-            F.count("*").alias("n_rows"),
-            ratio(F.count_if(F.col("value").isNull()), F.count("*")).alias("null_rate"),
+            F.sum("n").alias("n_rows"),
+            ratio(rows(F.col("value").isNull()), F.sum("n")).alias("null_rate"),
             F.max("q1").alias("q1"),
             F.max("q3").alias("q3"),
-            F.count_if((F.col("value") < low) | (F.col("value") > high)).alias("outliers"),
+            rows((F.col("value") < low) | (F.col("value") > high)).alias("outliers"),
         )
     )
 

@@ -24,13 +24,13 @@ def join_same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame
     return left.join(other, match).drop(*[f"_right_{c}" for c in on])
 
 
-def _placed(long: DataFrame, group: Sequence[str]) -> DataFrame:
+def _placed(long: DataFrame, group: Sequence[str], weight: str | None = None) -> DataFrame:
     """Distinct values ``_v`` of every group with their rows, the rows before them, and the group's totals.
 
-    NaN is the largest number; NULL comes after it.
+    A row stands for as many as its ``weight`` says. NaN is the largest number; NULL comes after it.
     """
     value = F.col("_v").asc_nulls_last()
-    counts = long.groupBy(*group, "_v").agg(F.count("*").alias("_cnt"))
+    counts = long.groupBy(*group, "_v").agg((F.sum(weight) if weight else F.count("*")).alias("_cnt"))
     # written with the number of its range, which any later read then agrees on
     cut = settle(counts.repartitionByRange(*group, value).withColumn("_part", F.spark_partition_id()), "values")
     known = F.sum(F.when(F.col("_v").isNotNull(), F.col("_cnt")).otherwise(0))
@@ -87,19 +87,20 @@ def percentile_of(rank: Column | str, size: Column | str) -> Column:
 
 
 def group_quantiles(
-    df: DataFrame, keys: Sequence[str], metrics: Mapping[str, tuple[Column, float]]
+    df: DataFrame, keys: Sequence[str], metrics: Mapping[str, tuple[Column, float]], weight: str | None = None
 ) -> DataFrame:
     """Exact interpolated quantiles per key.
 
     ``metrics`` maps an output name to (value, q). NULL values do not count; a key whose values are all NULL
-    stays, with NULL.
+    stays, with NULL. A row stands for as many as the column ``weight`` says, a positive whole number.
     """
     names = list(metrics)
     items = [
         F.struct(F.lit(i).alias("_m"), metrics[n][0].cast("double").alias("_v")) for i, n in enumerate(names)
     ]
     group = [*keys, "_m"]
-    rows = _placed(df.select(*keys, F.inline(F.array(*items))), group)
+    weights = [F.col(weight).alias("_weight")] if weight else []
+    rows = _placed(df.select(*keys, *weights, F.inline(F.array(*items))), group, "_weight" if weight else None)
     q = reduce(
         lambda acc, i: F.when(F.col("_m") == i, F.lit(float(metrics[names[i]][1]))).otherwise(acc),
         range(len(names)),

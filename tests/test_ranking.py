@@ -9,6 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bazaarlens.operators import ranking
+from bazaarlens.operators.quality import profile_nulls_outliers
+from bazaarlens.operators.ranking import group_quantiles
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +86,25 @@ def test_numbered(spark):
     df = spark.range(5000).withColumnRenamed("id", "k")
     got = ranking.numbered(df, ["k"], "p", 1).toPandas()
     assert sorted(got["p"]) == list(range(1, 5001)) and set(got["p_of"]) == {5000}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_weighted_quantiles_and_profile(spark, seed):
+    """Counted values give what the rows give, and the profile what pandas finds."""
+    pick = random.Random(seed)
+    rows = [(pick.choice([None, 1.0, 2.0, 2.0, 50.0, pick.random() * 9]), pick.choice([None, 7])) for _ in range(300)]
+    df = spark.createDataFrame([(*r, None) for r in rows], "a double, b int, c double")
+    counts = df.groupBy("b", "a").agg(F.count("*").alias("n"))
+    of = {"low": (F.col("a"), 0.1), "high": (F.col("a"), 0.9)}
+    plain, weighted = (sorted(map(tuple, x.collect()), key=str) for x in (group_quantiles(df, ["b"], of), group_quantiles(counts, ["b"], of, weight="n")))
+    assert plain == weighted and len(plain) == 2
+    got = {r["column"]: r for r in profile_nulls_outliers(df, ["a", "b", "c"]).collect()}
+    for i, name in enumerate("ab"):
+        known = pd.Series([r[i] for r in rows if r[i] is not None], dtype=float)
+        q1, q3 = known.quantile(0.25), known.quantile(0.75)
+        out = ((known < q1 - 1.5 * (q3 - q1)) | (known > q3 + 1.5 * (q3 - q1))).sum()
+        r = got[name]
+        assert (r.n_rows, r.outliers) == (300, out) and r.null_rate == pytest.approx(1 - len(known) / 300)
+        assert (r.q1, r.q3) == (pytest.approx(q1), pytest.approx(q3))
+    assert (got["c"].n_rows, got["c"].null_rate, got["c"].q1, got["c"].outliers) == (300, 1.0, None, 0)
+    assert profile_nulls_outliers(df.limit(0), ["a"]).count() == 0
