@@ -66,23 +66,31 @@ def dictionary_vote(df: DataFrame, key: str, terms: str, dictionary: DataFrame)
 
     A tie gives the first level 1 name, level 2 'Unknown' and ``tied``; weights are summed
     as decimals, so that ties are exact. A term listed twice for a category votes once, with its largest weight.
+    Only terms of the dictionary are dealt by ``key``, and rows with the same ones share a vote.
     """
     weight = F.max(F.col("weight").cast("decimal(18,9)")).alias("weight")
     entries = dictionary.groupBy("term", "category_l1", "category_l2").agg(weight)
+    known = entries.select("term").distinct()
+    # explode_outer: plain explode adds a size filter that evaluates the terms twice
+    found = df.select(key, F.explode_outer(terms).alias("term")).join(known, "term", "left_semi")
+    # a term found twice counts twice, as the list keeps both
+    sets = settle(found.groupBy(key).agg(F.sort_array(F.collect_list("term")).alias("_found")), "found-terms")
     votes = (
-        # explode_outer: plain explode adds a size filter that evaluates the terms twice
-        df.select(key, F.explode_outer(terms).alias("term"))
+        # dealt by the found terms from here on: the votes, many for each of them, stay where they are
+        sets.select("_found").distinct()
+        .select("_found", F.explode("_found").alias("term"))
         .join(entries, "term")
-        .groupBy(key, "category_l1", "category_l2")
+        .groupBy("_found", "category_l1", "category_l2")
         .agg(F.sum("weight").alias("score"))
     )
-    best = F.rank().over(Window.partitionBy(key).orderBy(F.desc("score")))
+    best = F.rank().over(Window.partitionBy("_found").orderBy(F.desc("score")))
     top = votes.withColumn("_r", best).filter(F.col("_r") == 1)
-    return top.groupBy(key).agg(
+    won = top.groupBy("_found").agg(
         F.min("category_l1").alias("category_l1"),
         F.when(F.count("*") == 1, F.min("category_l2")).otherwise("Unknown").alias("category_l2"),
         (F.count("*") > 1).alias("tied"),
     )
+    return sets.join(won, "_found").select(key, "category_l1", "category_l2", "tied")
 
 
 def product_link_category(posts: DataFrame, products: DataFrame, categories: DataFrame, key: str = "post_base_id") -> DataFrame:
