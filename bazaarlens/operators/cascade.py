@@ -144,7 +144,8 @@ def tag_category_cascade(
     """Product link, else hashtags, else words of description and search keywords, else creator prior, else Unknown.
 
     A tier only sees the posts that the tiers above left open. Between tiers only the key and its tag are written; the
-    posts join once, at the end. The stop list and dictionaries may come from versioned files (``readers``).
+    posts join once, at the end. Tags pack so well that Spark takes a table of millions of them for a small one, which it
+    would send through the driver to every task: the joins on ``key`` ask for a merge. The stop list and dictionaries may come from versioned files (``readers``).
     """
     tag = ["l1", "l2", "source", "confidence"]
     by_link = product_link_category(posts, products, categories, key).select(
@@ -158,14 +159,14 @@ def tag_category_cascade(
         )
 
     texts = [c for c in ("description", "search_keywords") if c in posts.columns]
-    no_link = posts.select(key, "hashtags", *texts).join(tier_0.select(key), key, "left_anti")
+    no_link = posts.select(key, "hashtags", *texts).join(tier_0.select(key).hint("merge"), key, "left_anti")
     tier_1 = settle(votes(no_link.select(key, hashtag_terms(stop=stop).alias("_terms")), "hashtag", hashtag_dict), "tier-1")
-    no_tag = no_link.select(key, *texts).join(tier_1.select(key), key, "left_anti")
+    no_tag = no_link.select(key, *texts).join(tier_1.select(key).hint("merge"), key, "left_anti")
     tier_2 = votes(with_text_terms(no_tag, "_terms", longest=longest, stop=stop), "keyword", keyword_dict)
     tags = settle(tier_0.unionByName(tier_1).unionByName(tier_2), "tiers")
-    told = posts.select(key, "channel_base_id").join(tags.select(key, F.col("l1").alias("category_l1")), key)
+    told = posts.select(key, "channel_base_id").join(tags.select(key, F.col("l1").alias("category_l1")).hint("merge"), key)
     prior = creator_prior(told, min_videos, min_share)
-    done = posts.join(tags.select(key, *tag), key, "left").join(prior, "channel_base_id", "left")
+    done = posts.join(tags.select(key, *tag).hint("merge"), key, "left").join(prior, "channel_base_id", "left")
     use_prior = F.col("l1").isNull() & F.col("prior_l1").isNotNull()
     return done.select(
         *posts.columns,
@@ -205,7 +206,7 @@ def tag_concerns(
 def tag_quality(guess: DataFrame, truth: DataFrame, key: str = "post_base_id", min_coverage: float = 0.8, min_accuracy: float = 0.85) -> DataFrame:
     """Coverage of the guesses and their accuracy on posts whose product link gives the truth."""
     known = truth.select(key, F.col("category_l1").alias("_truth"))
-    both = guess.select(key, "category_l1").join(known, key, "left")
+    both = guess.select(key, "category_l1").join(known.hint("merge"), key, "left")
     stats = both.agg(
         F.count("*").alias("videos"),
         F.count_if(F.col("category_l1") != "Unknown").alias("covered"),

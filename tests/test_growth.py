@@ -19,3 +19,12 @@ def test_votes_are_not_dealt_by_post(spark):
     assert not re.search(r"hashpartitioning\(id#\d+L?, category_l1", plan(voted))
     # every post found the same favourites, the six categories of the largest weight
     assert sorted(voted.collect(), key=str) == sorted([(i, "L0", "Unknown", True) for i in [*range(40), None]], key=str)
+
+
+def test_tags_are_not_broadcast(spark, tmp_path):
+    """Packed tag tables look small to Spark; the joins on the posts' key must not send them through the driver."""
+    guess = spark.createDataFrame([(1, "A"), (2, "Unknown")], "post_base_id long, category_l1 string")
+    truth = spark.createDataFrame([(1, "A")], "post_base_id long, category_l1 string")
+    quality = cas.tag_quality(guess, truth)
+    assert "BroadcastHashJoin" not in plan(quality)
+    assert quality.first()[:4] == (2, 1, 0.5, 1.0)
