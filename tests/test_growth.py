@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from bazaarlens.operators import cascade as cas
+from bazaarlens.operators import creators, ranking
 
 
 def plan(df) -> str:
@@ -28,3 +31,26 @@ def test_tags_are_not_broadcast(spark, tmp_path):
     quality = cas.tag_quality(guess, truth)
     assert "BroadcastHashJoin" not in plan(quality)
     assert quality.first()[:4] == (2, 1, 0.5, 1.0)
+
+
+def test_many_groups(spark):
+    """Small groups meet in one row, larger ones by range; both give the quantiles of group_quantiles."""
+    rows = [(g, float("nan") if g == 3 and i == 0 else float((i * 7) % 11) if (i + (g or 0)) % 5 else None) for g in (1, 2, 3, None) for i in range(40 if g == 2 else 9)]
+    df = spark.createDataFrame([*rows, (5, None)], "g int, v double")
+    of = {"low": (F.col("v"), 0.25), "mid": (F.col("v"), 0.5), "top": (F.col("v") * 2, 1.0)}
+    want = sorted(map(str, ranking.group_quantiles(df, ["g"], of).collect()))
+    for most in (0, 10, 1000):
+        assert sorted(map(str, ranking.many_group_quantiles(df, ["g"], of, most).collect())) == want
+
+
+def test_category_before_windows(spark):
+    """A post's products are looked up once, whatever the number of windows."""
+    day = F.expr("timestamp_ntz'2001-08-01' - make_dt_interval(days)")
+    posts = spark.createDataFrame([(1, 1, 10, [1, 2, 2], 0), (2, 1, None, [9], 20), (3, 2, 5, [], 3), (4, None, 5, [1], 400)], "post_base_id long, channel_base_id long, view_count long, list_product_base_id array<long>, days int").withColumn("created_at_platform", day)
+    products = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "product_base_id long, categories__id_1 long, brand string")
+    categories = spark.createDataFrame([("1", "A"), ("2", "B")], "category_id string, category_name string")
+    got = creators.scoped_category(posts, products, categories, (7, 30), "2001-08-02")
+    old = creators.video_dominant_category(creators.scope_windows(posts, (7, 30), "2001-08-02"), products, categories)
+    assert sorted(got.collect(), key=str) == sorted(old.select(*got.columns).collect(), key=str)
+    # no window deals the products any more
+    assert not re.search(r"hashpartitioning\(window_days", plan(got))
