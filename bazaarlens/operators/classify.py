@@ -16,6 +16,8 @@ from bazaarlens.operators.ranking import numbered
 
 # Labels that stand for no label.
 EMPTY_LABELS = ["none", "nan"]
+#: Parts in which the rows of a label are first cut to its cap.
+SHARES = 32
 
 
 def clean_labelled(df: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
@@ -38,9 +40,12 @@ def balance_labels(
     The cap is the operator's purpose: it balances the training set.
     """
     support = df.groupBy(label).agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_count).select(label)
-    kept = df.join(support, label, "left_semi")
-    unique = first_by(kept, [text, label], [F.asc_nulls_last(c) for c in order])
-    return limit_by(unique, max_count, [label], [F.asc_nulls_last(c) for c in order])
+    ordered = [F.asc_nulls_last(c) for c in order]
+    unique = first_by(df, [text, label], ordered).withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(SHARES)))
+    # every task brings up to max_count texts of a label: few of the tasks meet at a time
+    few = limit_by(limit_by(unique, max_count, [label, "_share"], ordered), max_count, [label], ordered).drop("_share")
+    # a label stays or goes as a whole, so that the texts need not be dealt by label to be judged
+    return few.join(support, label, "left_semi")
 
 
 def label_map(df: DataFrame, label: str = "label") -> DataFrame:

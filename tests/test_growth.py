@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from bazaarlens.operators import cascade as cas
-from bazaarlens.operators import creators, ranking
+from bazaarlens.operators import classify, creators, ranking
 
 
 def plan(df) -> str:
@@ -54,3 +54,16 @@ def test_category_before_windows(spark):
     assert sorted(got.collect(), key=str) == sorted(old.select(*got.columns).collect(), key=str)
     # no window deals the products any more
     assert not re.search(r"hashpartitioning\(window_days", plan(got))
+
+
+def test_texts_are_not_dealt_by_label(spark):
+    """A label's texts are cut to its cap in parts before they meet, and its support is judged after that."""
+    rows = [(i, f"text {i % 70}", "a" if i % 4 else "b") for i in range(400)] + [(900, "one", "c"), (None, "late", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string").repartition(6)
+    out = classify.balance_labels(df, ["doc_id"], 2, 20)
+    first = {}
+    for i, text, label in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        first.setdefault((label, text), i)
+    want = [x for label in "ab" for x in sorted((i, label) for (of, _), i in first.items() if of == label)[:20]]
+    assert sorted((r.doc_id, r.label) for r in out.collect()) == sorted(want)
+    assert re.search(r"hashpartitioning\(label#\d+, _share#\d+", plan(out))
