@@ -18,7 +18,7 @@ from bazaarlens.operators.creators import CRAWL_ORDER
 from bazaarlens.operators.dedup import latest_by, newest
 from bazaarlens.plans.creators import BRAND_COUNTS, CAT_COUNTS, TAGGED, brand_hashtag_counts, hashtag_counts
 from bazaarlens.plans.registry import div, query, r
-from bazaarlens.plans.views import categories, ctes, latest_sql, posts, products
+from bazaarlens.plans.views import categories, ctes, latest_sql, products, raw_posts, with_tags
 from bazaarlens.session import settle
 from bazaarlens.sources.tables import table
 
@@ -450,7 +450,8 @@ VERSION, TAGGED_AT = "v2", "2026-06-01 00:00:00"
 
 
 def videos(spark, sf):
-    newest_rows = latest_by(posts(spark, sf, tags=True), ["post_base_id"], newest(*CRAWL_ORDER)).select(
+    # the texts are made after the collapse, which moves what they are made of
+    newest_rows = with_tags(latest_by(raw_posts(spark, sf, tags=True), ["post_base_id"], newest(*CRAWL_ORDER))).select(
         "post_base_id", "channel_base_id", "updated_at", "view_count", "hashtags", "description", "list_product_base_id"
     )
     return settle(newest_rows, "videos")
