@@ -28,7 +28,8 @@ def test_tags_are_not_broadcast(spark, tmp_path):
     """Packed tag tables look small to Spark; the joins on the posts' key must not send them through the driver."""
     guess = spark.createDataFrame([(1, "A"), (2, "Unknown")], "post_base_id long, category_l1 string")
     truth = spark.createDataFrame([(1, "A")], "post_base_id long, category_l1 string")
-    quality = cas.tag_quality(guess, truth)
+    truth.write.parquet(f"{tmp_path}/truth")
+    quality = cas.tag_quality(guess, spark.read.parquet(f"{tmp_path}/truth"))
     assert "BroadcastHashJoin" not in plan(quality)
     assert quality.first()[:4] == (2, 1, 0.5, 1.0)
 
