@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -77,43 +77,90 @@ _NEW_ENVELOPE = r'(?<![:,\[\s])\s*(?=\{"code")'
 # a text cannot hold a line end, but it can hold blanks
 _LINES = r"(?<=\})\s*\n\s*(?=\{)"
 _APART = r"(?<=\})[ \t]+(?=\{)"
+_BEGIN = r'^\s*\{\s*["}]'
 
 
-def _parses(doc: Column) -> Column:
-    """Is this JSON? What follows a complete document does not count."""
+def _may_parse(doc: Column) -> Column:
+    """Does an object begin here, and does a brace close outside of its texts? Cheap, and true of all that parses."""
+    bare = F.regexp_replace(F.regexp_replace(doc, r"(?s)\\.", ""), r'"[^"]*"', "")
+    return doc.rlike(_BEGIN) & F.substring_index(bare, '"', 1).contains("}")
+
+
+def _is_json(doc: Column) -> Column:
+    """What follows a complete document does not count."""
     return F.try_parse_json(doc).isNotNull()
 
 
+def _parses(doc: Column) -> Column:
+    """As ``_is_json``, faster for texts that are likely none: the parser raises an error for each of them."""
+    return _may_parse(doc) & _is_json(doc)
+
+
 def _closed(piece: Column) -> Column:
     """A piece with the outer brackets that the separator took."""
     return F.concat(F.when(piece.startswith("{"), piece).otherwise(F.concat(F.lit("{"), piece)), F.lit("}"))
 
 
+def _bound(value: Column, then) -> Column:
+    """``then`` of a value that is made once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _on_line(parses) -> Callable[[Column], Column]:
+    """Documents of a line, which may stand apart; NULL if it is not whole."""
+
+    def of_parts(parts: Column, line: Column) -> Column:
+        return F.when((F.size(parts) > 1) & F.forall(parts, _parses), parts).when(parses(line), F.array(line))
+
+    return lambda line: _bound(F.split(line, _APART), lambda parts: of_parts(parts, line))
+
+
 def _documents(closed: Column) -> Column:
-    """Documents of a piece, which may also stand apart; NULL where one is not whole."""
+    """Documents of a piece; NULL where one is not whole."""
 
-    def on_line(line: Column) -> Column:
-        parts = F.split(line, _APART)
-        return F.when(F.forall(parts, _parses), parts).when(_parses(line), F.array(line))
+    def of_lines(lines: Column) -> Column:
+        return F.when(F.forall(lines, lambda line: line.rlike(_BEGIN)), F.flatten(F.transform(lines, _on_line(_parses))))
 
-    return F.flatten(F.transform(F.split(closed, _LINES), on_line))
+    return _bound(F.split(closed, _LINES), of_lines)
 
 
-def _cut_off(closed: Column) -> Column:
-    """Documents of a text that does not parse: a cut-off document runs straight into the next one's envelope.
+def _cut_off(line: Column) -> Column:
+    """Documents of a line that does not parse: a cut-off document runs straight into the next one's envelope.
 
     Where it stops at a mark that an inner object may follow, the longest end that parses is the next document.
     """
 
-    def loose(part: Column) -> Column:
-        pieces = F.split(part, _ENVELOPE)
+    def halves(pieces: Column) -> Column:
         end = lambda i: F.array_join(F.slice(pieces, i, F.size(pieces)), "")
-        at = F.get(F.filter(F.sequence(F.lit(2), F.size(pieces)), lambda i: _parses(end(i))), 0)
-        two = F.when(F.size(pieces) > 1, F.when(at.isNotNull(), F.array(F.array_join(F.slice(pieces, 1, at - 1), ""), end(at))))
-        return F.when(_parses(part), F.array(part)).otherwise(F.coalesce(two, F.array(part)))
+        first = lambda at, i: F.when(at > 0, at).when(_parses(end(i)), i).otherwise(0)
+        at = F.aggregate(F.sequence(F.lit(2), F.size(pieces)), F.lit(0), first)
+        two = lambda i: F.when(i > 0, F.array(F.array_join(F.slice(pieces, 1, i - 1), ""), end(i)))
+        return F.when(F.size(pieces) > 1, _bound(at, two))
+
+    def loose(part: Column, several: Column) -> Column:
+        two = F.coalesce(_bound(F.split(part, _ENVELOPE), halves), F.array(part))
+        return F.when(several & _parses(part), F.array(part)).otherwise(two)
+
+    return _bound(F.split(line, _NEW_ENVELOPE), lambda parts: F.flatten(F.transform(parts, lambda p: loose(p, F.size(parts) > 1))))
+
+
+def _documents_or_cut(closed: Column) -> Column:
+    """As ``_documents``; of a text that does not parse, every line that does is one document, and the others are cut off."""
+
+    def of_lines(lines: Column) -> Column:
+        return _bound(F.transform(lines, _on_line(_is_json)), lambda found: of_found(lines, found))
 
-    lines = F.transform(F.split(closed, _LINES), lambda d: F.when(_parses(d), F.array(d)).otherwise(F.split(d, _NEW_ENVELOPE)))
-    return F.filter(F.flatten(F.transform(F.flatten(lines), loose)), lambda d: d != "")
+    def of_found(lines: Column, found: Column) -> Column:
+        one = F.zip_with(lines, found, lambda line, f: F.when(f.isNotNull(), F.array(line)).otherwise(_cut_off(line)))
+        return F.coalesce(F.flatten(found), F.filter(F.flatten(one), lambda d: d != ""))
+
+    return _bound(F.split(closed, _LINES), of_lines)
+
+
+def _quotes(text: Column) -> Column:
+    """Quotes that are not escaped."""
+    rest = F.regexp_replace(text, r"(?s)\\.", "")
+    return F.length(rest) - F.length(F.replace(rest, F.lit('"'), F.lit("")))
 
 
 def read_concat_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -121,8 +168,8 @@ def read_concat_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
     ``}{`` is the record separator, so a large file is read in splits. It also cuts texts that hold ``}{``: pieces that
     do not parse are put together again while a quote is open. Only what still does not parse is taken for
-    cut-off documents. Order numbers come from the number of documents in the splits before; windows hold a split,
-    or the neighbouring pieces of a file that do not parse.
+    cut-off documents. Order numbers come from the number of documents in the splits before, and so does an open quote
+    that a split begins with; windows hold one split, or one row per split of a file.
     """
     text = F.trim(F.col("value"))
     pieces = settle(
@@ -134,7 +181,8 @@ def read_concat_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
             F.monotonically_increasing_id().alias("_row"),
         )
         .filter(F.col("value") != "")
-        .withColumn("_docs", _documents(_closed(F.col("value")))),
+        .withColumn("_docs", _documents(_closed(F.col("value"))))
+        .withColumn("_quotes", F.when(F.col("_docs").isNull(), _quotes(F.col("value"))).otherwise(0)),
         "pieces",
     )
     whole = pieces.filter(F.col("_docs").isNotNull()).select("file", "_block", "_row", F.posexplode("_docs").alias("_part", "doc"))
@@ -153,27 +201,48 @@ def _earlier(counts: DataFrame) -> DataFrame:
 
 
 def _rejoined(pieces: DataFrame) -> DataFrame:
-    """Documents of the pieces that do not parse alone, at the place of their first piece."""
-    fine = F.col("_docs").isNotNull().cast("int")
-    earlier = Window.partitionBy("file", "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    base = _earlier(pieces.groupBy("file", "_block").agg(F.sum(fine).alias("_n")))
-    # neighbours have the same number of whole pieces before them
-    broken = (
-        pieces.withColumn("_run", F.coalesce(F.sum(fine).over(earlier), F.lit(0)))
-        .filter(F.col("_docs").isNull())
-        .join(base, ["file", "_block"])
-        .withColumn("_run", F.col("_run") + F.col("_before"))
+    """Documents of the pieces that do not parse alone, at the place of their first piece.
+
+    A piece begins a group unless a quote is open, counted from the last whole piece on. What an earlier split leaves
+    open is only known later, so a split's first pieces are looked at both ways.
+    """
+    split = Window.partitionBy("file", "_block").orderBy("_row")
+    upto = split.rowsBetween(Window.unboundedPreceding, 0)
+    fine = F.col("_docs").isNotNull()
+    counted = pieces.select("file", "_block", "_row", fine.alias("_fine"), "_quotes", F.when(~fine, F.col("value")).alias("value"))
+    since = counted.withColumn("_upto", F.sum("_quotes").over(upto))
+    since = since.withColumn("_reset", F.max(F.when(F.col("_fine"), F.col("_upto"))).over(upto))
+    # quotes since the last whole piece, or since the split's begin
+    since = since.withColumn("_since", F.col("_upto") - F.coalesce("_reset", F.lit(0)))
+    odd = (F.col("_since") - F.col("_quotes")) % 2 == 1
+    begins = {0: ~odd, 1: F.when(F.col("_reset").isNull(), odd).otherwise(~odd)}
+    for carried, begin in begins.items():
+        since = since.withColumn(f"_begin{carried}", F.max(F.when(~F.col("_fine") & begin, F.col("_row"))).over(upto))
+    last = since.groupBy("file", "_block").agg(
+        F.max("_reset").isNotNull().alias("_resets"), F.max_by("_since", "_row").alias("_left"), F.max("_begin0").alias("_begin0"), F.max("_begin1").alias("_begin1")
     )
-    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), r'[^"]', ""))
-    run = Window.partitionBy("file", "_run").orderBy("_block", "_row")
-    open_before = F.coalesce(F.sum(quotes).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1
-    grouped = broken.withColumn("_open", open_before).withColumn("_group", F.sum(F.when(F.col("_open"), 0).otherwise(1)).over(run))
+    joined = since.filter(~F.col("_fine")).join(_carried(last), ["file", "_block"])
+    own = F.when(F.col("_odd"), F.col("_begin1")).otherwise(F.col("_begin0"))
     place = F.struct("_block", "_row", "value")
-    joined = grouped.groupBy("file", "_run", "_group").agg(F.sort_array(F.collect_list(place)).alias("_all")).select(
-        "file", F.col("_all")[0]["_block"].alias("_block"), F.col("_all")[0]["_row"].alias("_row"),
-        _closed(F.array_join(F.col("_all")["value"], "}{")).alias("_text"),
+    groups = joined.withColumn("_first", F.coalesce(F.when(own.isNotNull(), F.struct("_block", own.alias("_row"))), "_open"))
+    texts = groups.groupBy("file", "_first").agg(F.sort_array(F.collect_list(place)).alias("_all")).select(
+        "file", "_first._block", "_first._row", _closed(F.array_join(F.col("_all")["value"], "}{")).alias("_text")
     )
-    return joined.select("file", "_block", "_row", F.posexplode(F.coalesce(_documents(F.col("_text")), _cut_off(F.col("_text")))).alias("_part", "doc"))
+    return texts.select("file", "_block", "_row", F.posexplode(_documents_or_cut(F.col("_text"))).alias("_part", "doc"))
+
+
+def _carried(splits: DataFrame) -> DataFrame:
+    """Does a split begin within a quote (``_odd``), and which group was open then (``_open``)? One row per split."""
+    w = Window.partitionBy("file").orderBy("_block")
+    earlier, upto = (w.rowsBetween(Window.unboundedPreceding, at) for at in (-1, 0))
+    total = splits.withColumn("_total", F.sum("_left").over(upto))
+    # of the last split with a whole piece, only the quotes after that piece count
+    reset = F.max(F.when(F.col("_resets"), F.col("_total") - F.col("_left"))).over(earlier)
+    odd = (F.col("_total") - F.col("_left") - F.coalesce(reset, F.lit(0))) % 2 == 1
+    marked = total.withColumn("_odd", odd)
+    begin = F.when(F.col("_odd"), F.col("_begin1")).otherwise(F.col("_begin0"))
+    group = F.when(begin.isNotNull(), F.struct("_block", begin.alias("_row")))
+    return marked.select("file", "_block", "_odd", F.last(group, ignorenulls=True).over(earlier).alias("_open"))
 
 
 def complete_rows(doc: Column | str, schema: str) -> Column:

@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 import json
+import re
 
 import pytest
 
@@ -46,6 +47,25 @@ def test_separators_inside_texts(spark, tmp_path, size):
         assert sorted(map(tuple, got)) == [(i, i, d["t"]) for i, d in enumerate(docs)]
 
 
+def test_windows_of_pieces_hold_one_split(spark, tmp_path, monkeypatch):
+    """No piece of this file parses alone, so all of them are neighbours."""
+    docs = [{"code": 0, "n": i, "t": "x}{y"} for i in range(50)]
+    (tmp_path / "w.json").write_text("\n".join(map(json.dumps, docs)), encoding="utf-8")
+    plans, rejoined = [], readers._rejoined
+
+    def seen(pieces):
+        out = rejoined(pieces)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(readers, "_rejoined", seen)
+    got = readers.read_concat_json(spark, str(tmp_path / "w.json"), "n int, t string").select("ordinal", "data.n", "data.t").collect()
+    assert sorted(map(tuple, got)) == [(i, i, "x}{y") for i in range(50)]
+    windows = re.findall(r"windowspecdefinition\(([^)]*?) ASC NULLS FIRST(, _row)?", plans[0])
+    by_row = [keys for keys, more in windows if more or "_row#" in keys]
+    assert windows and all(keys.count("_block#") == 1 and "_row#" in keys for keys in by_row), plans[0]
+
+
 def test_cut_off_documents_beside_inner_envelopes(spark, tmp_path):
     def doc(i):
         return json.dumps({"code": 0, "n": i, "l": [{"code": 1}, {"code": 2}], "o": {"code": 3}, "t": 'a} {"b'})
