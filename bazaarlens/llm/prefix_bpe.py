@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,18 +51,19 @@ class PrefixEncoder:
         self.bytes_of: list[bytes] = [b""] * self.size
         # where a token was merged; single bytes point to themselves
         self.left, self.right = list(range(self.size)), list(range(self.size))
-        #: Token of every prefix of a token; -1 if it is none, or one that merging never makes.
-        self.start: dict[bytes, int] = {}
+        #: Prefixes of tokens as a tree: what follows by byte, and under -1 the prefix's token. That is -1 if it is none,
+        #: or one that merging never makes.
+        self.root: dict = {-1: -1}
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
             parts = merge(token, ranks, rank)
             if len(parts) == 2:
                 self.left[rank], self.right[rank] = ranks[parts[0]], ranks[parts[1]]
+            node = self.root
+            for byte in token:
+                node = node.setdefault(byte, {-1: -1})
             if len(parts) <= 2:
-                self.start[token] = rank
-        for token in ranks:
-            for end in range(1, len(token) + 1):
-                self.start.setdefault(token[:end], -1)
+                node[-1] = rank
         self.match = regex.compile(pattern)
         self._pairs: dict[int, bool] = {}
         # texts by their chunks between blanks, and chunks by their matches
@@ -97,16 +99,22 @@ class PrefixEncoder:
 
     def extend(self, data: bytes, last: list[int], upto: int | None = None) -> None:
         """Fill the table of last tokens from where it ends. Entry i belongs to the prefix of i bytes."""
-        start, fit, end = self.start, self.fit, len(data) if upto is None else upto
+        root, pairs, fit, size, end = self.root, self._pairs, self.fit, self.size, len(data) if upto is None else upto
         first = len(last)
         last.extend([-1] * (end + 1 - first))
         for j in range(max(0, first - self.longest), end):
-            before = last[j]
-            for e in range(j + 1, end + 1):
-                token = start.get(data[j:e])
-                if token is None:
+            before, node, e = last[j], root, j
+            for byte in data[j:end]:
+                node = node.get(byte)
+                if node is None:
                     break
-                if token >= 0 and e >= first and last[e] < 0 and (j == 0 or fit(before, token)):
+                e += 1
+                token = node[-1]
+                if token >= 0 and e >= first and last[e] < 0:
+                    if j:
+                        fits = pairs.get(before * size + token)
+                        if not (fit(before, token) if fits is None else fits):
+                            continue
                     last[e] = token
 
     def tokens(self, last: list[int], end: int | None = None) -> list[int]:
@@ -130,7 +138,8 @@ class PrefixEncoder:
         for match in self.match.findall(chunk):
             ids = known.get(match)
             if ids is None:
-                ids = np.array(self.encode_match(match.encode()), "<u4").tobytes()
+                found = self.encode_match(match.encode())
+                ids = struct.pack(f"<{len(found)}I", *found)
                 if len(match) < 16:
                     if len(known) >= STORE_ENTRIES // 4:
                         known.clear()

@@ -86,3 +86,16 @@ def test_odd_rows(spark, library):
     docs = spark.createDataFrame([(*x, "n", "i") for x in want], "doc_id long, text string, n_tokens string, ids string")
     check(encode_documents(docs, PATH, PATTERN).collect(), want, library)
     assert encode_documents(docs.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_one_cut_of_the_bytes_for_each_place():
+    class Counted(bytes):
+        cuts = 0
+
+        def __getitem__(self, at):
+            Counted.cuts += 1
+            return bytes.__getitem__(self, at)
+
+    last = [-1]
+    encoder(PATH, PATTERN).extend(Counted(b" internationalisation"), last)
+    assert min(last[1:]) >= 0 and Counted.cuts <= len(last)
