@@ -297,7 +297,7 @@ def str1_retag(spark, sf):
         retag.link_events(links, "post_base_id", F.lit(2), "list_product_base_id"),
         event(late, 3).unionByName(retag.version_event(spark, "v2", 3)),
     ]
-    return retag.run_phases(spark, phases, fields=posts.schema, key="post_base_id", products="list_product_base_id", tagger=_link_or_rule, buckets=16)
+    return retag.run_phases(spark, phases, fields=posts.schema, key="post_base_id", products="list_product_base_id", tagger=_link_or_rule)
 
 
 @query("str2_ingest", "SELECT DISTINCT user_id, event_type FROM events")

@@ -1,5 +1,10 @@
 """Tags follow late links, changed posts and new dictionaries, over restarts and like the batch path."""
 
+import random
+from collections import Counter
+from types import SimpleNamespace
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +96,83 @@ def test_settings_are_given_back(spark):
     feed = Feed(spark)
     feed.deliver(feed.version("v1", 1), feed.posts([(None, "no key"), (1, "a")], 1))
     assert before == {k: spark.conf.get(k) for k in retag.SETTINGS}
+
+
+class Held:
+    """A bucket's state in memory, which counts the messages that Spark's would cost: one for each call or page."""
+
+    def __init__(self):
+        self.calls, self.version, self.posts = Counter(), {}, {}
+
+    def getValueState(self, name, schema):
+        return SimpleNamespace(exists=lambda: "v" in self.version, get=lambda: self.version["v"], update=lambda v: self.version.update(v=v))
+
+    def getMapState(self, name, key_schema, schema, ttl):
+        def counted(call, run):
+            def do(*args):
+                self.calls[call] += 1
+                return run(*args)
+
+            return do
+
+        def pages(rows):
+            for i, row in enumerate(sorted(rows)):
+                self.calls["page"] += i % retag.CHUNK == 0
+                yield row
+
+        return SimpleNamespace(
+            exists=counted("exists", lambda: bool(self.posts)), containsKey=counted("containsKey", lambda k: k in self.posts), getValue=counted("getValue", lambda k: self.posts[k]),
+            updateValue=counted("updateValue", self.posts.__setitem__), iterator=lambda: pages(self.posts.items()), keys=lambda: pages(self.posts),
+        )
+
+    def batch(self, *chunks, lifetime=1000):
+        """Rows sent, and messages about posts."""
+        self.calls.clear()
+        state = retag.TagState(lifetime)
+        state.init(self)
+        out = state.handleInputRows((0,), iter([pd.DataFrame(c, columns=["kind", "key", "at", "body"]) for c in chunks]), None)
+        return [tuple(r) for d in out for r in d.itertuples(index=False)], sum(self.calls.values())
+
+
+def test_messages_per_post():
+    """A message is most of what a post costs: one write for a new one, one for a new version, and none if that has no lifetime to prolong."""
+    bucket = Held()
+    posts = [("post", f"k{i:04}", 1, f"text {i}") for i in range(2500)]
+    sent, n = bucket.batch([("version", None, 1, "v1"), *posts[:2000]], posts[2000:])
+    assert len(sent) == 2500 and n <= 2500 + 10
+    sent, n = bucket.batch([("link", f"k{i:04}", 2, "[1]") for i in range(500)])
+    assert len(sent) == 500 and n <= 3 * 500 + 10
+    sent, n = bucket.batch([("version", None, 2, "v2")])
+    assert {s[3] for s in sent} == {"v2"} and len(sent) == 2500 and n <= 2500 + 10
+    sent, n = bucket.batch([("version", None, 3, "v3")], lifetime=None)
+    assert len(sent) == 2500 and n <= 10
+
+
+def test_a_version_prolongs_what_it_sends():
+    """A post lives on from the last version that sent it; a link without a post does not."""
+    bucket = Held()
+    bucket.batch([("version", None, 1, "v1"), ("post", "a", 1, "x"), ("link", "b", 1, "[1]")])
+    bucket.batch([("version", None, 2, "v2"), ("post", "c", 2, "y")])
+    assert bucket.calls["updateValue"] == 2  # a for the version, c for its event
+
+
+@pytest.mark.parametrize("room", [-1, 20, 1 << 24])
+def test_one_row_per_post_and_batch(monkeypatch, room):
+    """Whether a task holds the records of a batch or goes back to the state for them, over any number of chunks."""
+    monkeypatch.setattr(retag, "ROOM", room, raising=False)
+    bucket, rng = Held(), random.Random(1)
+    post, link, sent_as, version = {}, {}, {}, None
+    for at in range(12):
+        chunks = [[(rng.choice(["post", "link"]), f"k{rng.randrange(9)}", rng.randrange(at, at + 3), rng.choice(["[1]", "[2]", "[2, 3]"])) for _ in range(6)] for _ in range(4)]
+        if at in (0, 3, 7):
+            chunks[2].append(("version", None, at, version := f"v{at}"))
+        for kind, k, when, body in (e for c in chunks for e in c if e[0] != "version"):
+            of = post if kind == "post" else link
+            of[k] = max(of.get(k, (when, body)), (when, body))
+        now = {k: (post[k][1], link[k][1] if k in link else None, version) for k in post}
+        sent, _ = bucket.batch(*chunks)
+        assert sorted(sent, key=str) == sorted(((k, *v) for k, v in now.items() if sent_as.get(k) != v), key=str)
+        sent_as.update(now)
+    # there and back within a batch is no change
+    text = bucket.posts["k0",][1]
+    assert bucket.batch([("post", "k0", 90, "other")], [("post", "k0", 91, text)])[0] == []
