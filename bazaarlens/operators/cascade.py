@@ -11,7 +11,7 @@ from bazaarlens.functions.columns import cascade, has_items, ratio
 from bazaarlens.functions.rule_tables import STOP_TAGS
 from bazaarlens.functions.text import drop_stop_terms, fold, fold_hashtag, ngrams, words
 from bazaarlens.operators.lookups import explode_products, heaviest, linked
-from bazaarlens.session import settle
+from bazaarlens.session import interim, settle
 
 # Confidence of each tier and the loss for a tie.
 CONFIDENCE = {"product_link": 1.0, "hashtag": 0.8, "keyword": 0.65, "creator_prior": 0.5, "unknown": 0.0}
@@ -107,10 +107,13 @@ def product_link_category(posts: DataFrame, products: DataFrame, categories: Dat
     return heaviest(counts, [key], ["category_l1", "category_l2"], "_n")
 
 
-def creator_prior(tagged: DataFrame, min_videos: int = 5, min_share: float = 0.6) -> DataFrame:
-    """Main category of the creators with enough tagged videos and a clear favourite."""
+def creator_prior(tagged: DataFrame, min_videos: int = 5, min_share: float = 0.6, videos: Column | None = None) -> DataFrame:
+    """Main category of the creators with enough tagged videos and a clear favourite.
+
+    ``videos`` adds up the videos of several rows; without it each row is one.
+    """
     counts = tagged.filter(F.col("category_l1").isNotNull()).groupBy("channel_base_id", "category_l1").agg(
-        F.count("*").alias("n")
+        (F.count("*") if videos is None else videos).alias("n")
     )
     total = counts.groupBy("channel_base_id").agg(F.sum("n").alias("total"))
     best = heaviest(counts, ["channel_base_id"], ["category_l1", "n"], "n").join(total, "channel_base_id")
@@ -143,15 +146,15 @@ def tag_category_cascade(
 ) -> DataFrame:
     """Product link, else hashtags, else words of description and search keywords, else creator prior, else Unknown.
 
-    A tier only sees the posts that the tiers above left open. Between tiers only the key and its tag are written; the
-    posts join once, at the end. Tags pack so well that Spark takes a table of millions of them for a small one, which it
+    A tier only sees the posts that the tiers above left open. Between tiers only the key and its tag are written. The
+    prior is found and given on one narrow row for each key and channel, so that the posts with their texts are dealt
+    once, at the end. Tags pack so well that Spark takes a table of millions of them for a small one, which it
     would send through the driver to every task: the joins on ``key`` ask for a merge. The stop list and dictionaries may come from versioned files (``readers``).
     """
-    tag = ["l1", "l2", "source", "confidence"]
+    tag, pair = ["l1", "l2", "source", "confidence"], [key, "channel_base_id"]
     by_link = product_link_category(posts, products, categories, key).select(
         key, F.col("category_l1").alias("l1"), F.coalesce("category_l2", F.lit("Unknown")).alias("l2"), F.lit("product_link").alias("source"), _score("product_link").alias("confidence")
     )
-    tier_0 = settle(by_link, "tier-0")
 
     def votes(rows: DataFrame, source: str, entries: DataFrame) -> DataFrame:
         return dictionary_vote(rows, key, "_terms", entries).select(
@@ -159,21 +162,33 @@ def tag_category_cascade(
         )
 
     texts = [c for c in ("description", "search_keywords") if c in posts.columns]
-    no_link = posts.select(key, "hashtags", *texts).join(tier_0.select(key).hint("merge"), key, "left_anti")
-    tier_1 = settle(votes(no_link.select(key, hashtag_terms(stop=stop).alias("_terms")), "hashtag", hashtag_dict), "tier-1")
-    no_tag = no_link.select(key, *texts).join(tier_1.select(key).hint("merge"), key, "left_anti")
-    tier_2 = votes(with_text_terms(no_tag, "_terms", longest=longest, stop=stop), "keyword", keyword_dict)
-    tags = settle(tier_0.unionByName(tier_1).unionByName(tier_2), "tiers")
-    told = posts.select(key, "channel_base_id").join(tags.select(key, F.col("l1").alias("category_l1")).hint("merge"), key)
-    prior = creator_prior(told, min_videos, min_share)
-    done = posts.join(tags.select(key, *tag).hint("merge"), key, "left").join(prior, "channel_base_id", "left")
+    with interim(posts.sparkSession) as keep:
+        tier_0 = keep(by_link, "tier-0")
+        no_link = posts.select(key, "hashtags", *texts).join(tier_0.select(key).hint("merge"), key, "left_anti")
+        tier_1 = keep(votes(no_link.select(key, hashtag_terms(stop=stop).alias("_terms")), "hashtag", hashtag_dict), "tier-1")
+        no_tag = no_link.select(key, *texts).join(tier_1.select(key).hint("merge"), key, "left_anti")
+        tier_2 = votes(with_text_terms(no_tag, "_terms", longest=longest, stop=stop), "keyword", keyword_dict)
+        tags = keep(tier_0.unionByName(tier_1).unionByName(tier_2), "tiers")
+        told = posts.select(*pair).join(tags.hint("merge"), key, "left")
+        marks = settle(told.groupBy(*pair, *tag).agg(F.count("*").alias("_n")), "marks")
+    prior = creator_prior(marks.withColumnRenamed("l1", "category_l1"), min_videos, min_share, F.sum("_n"))
     use_prior = F.col("l1").isNull() & F.col("prior_l1").isNotNull()
-    return done.select(
+    # only what has no category yet is dealt by channel
+    left = marks.filter(F.col("l1").isNull()).join(prior, "channel_base_id", "left").select(
+        *pair,
+        F.coalesce("l1", "prior_l1").alias("l1"),
+        "l2",
+        F.coalesce("source", F.when(use_prior, "creator_prior")).alias("source"),
+        F.coalesce("confidence", F.when(use_prior, _score("creator_prior"))).alias("confidence"),
+    )
+    given = marks.filter(F.col("l1").isNotNull()).select(*pair, *tag).unionByName(left).withColumnsRenamed({c: f"_{c}" for c in pair})
+    same = F.col(key).eqNullSafe(F.col(f"_{key}")) & F.col("channel_base_id").eqNullSafe(F.col("_channel_base_id"))
+    return posts.join(given.hint("merge"), same, "left").select(
         *posts.columns,
-        F.coalesce("l1", "prior_l1", F.lit("Unknown")).alias("category_l1"),
+        F.coalesce("l1", F.lit("Unknown")).alias("category_l1"),
         F.coalesce("l2", F.lit("Unknown")).alias("category_l2"),
-        F.coalesce("source", F.when(use_prior, "creator_prior"), F.lit("unknown")).alias("category_source"),
-        F.coalesce("confidence", F.when(use_prior, _score("creator_prior")), _score("unknown")).alias("category_confidence"),
+        F.coalesce("source", F.lit("unknown")).alias("category_source"),
+        F.coalesce("confidence", _score("unknown")).alias("category_confidence"),
         F.lit(version).alias("tag_dict_version"),
         F.lit(tagged_at).cast("timestamp_ntz").alias("tagged_at"),
     )

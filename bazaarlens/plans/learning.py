@@ -25,7 +25,7 @@ from bazaarlens.plans.tagging import (
     videos,
 )
 from bazaarlens.plans.views import ctes, latest_sql, posts
-from bazaarlens.session import fresh_path
+from bazaarlens.session import fresh_path, interim
 from bazaarlens.sources import readers, sinks, split_csv, split_json
 from bazaarlens.sources.keyed import KeyedTable
 from bazaarlens.sources.tables import load_posts, table
@@ -506,6 +506,8 @@ def snk3_report(spark, sf):
 def snk4_serving(spark, sf):
     path = fresh_path(spark, "serving")
     facts = videos(spark, sf)
-    tags = cascaded(spark, sf, facts).select(*CAT_COLS)
-    sinks.write_serving(sinks.attach_tags(facts, tags), path)
+    with interim(spark) as keep:
+        # one wide shuffle at a time: the join's is gone before that of the writers begins
+        tags = keep(cascaded(spark, sf, facts).select(*CAT_COLS), "tags").hint("merge")
+        sinks.write_serving(keep(sinks.attach_tags(facts, tags), "served"), path)
     return spark.read.parquet(path).select(*CAT_COLS, "channel_base_id")

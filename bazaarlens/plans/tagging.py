@@ -19,7 +19,7 @@ from bazaarlens.operators.dedup import latest_by, newest
 from bazaarlens.plans.creators import BRAND_COUNTS, CAT_COUNTS, TAGGED, brand_hashtag_counts, hashtag_counts
 from bazaarlens.plans.registry import div, query, r
 from bazaarlens.plans.views import categories, ctes, latest_sql, products, raw_posts, with_tags
-from bazaarlens.session import settle
+from bazaarlens.session import interim, settle
 from bazaarlens.sources.tables import table
 
 # ---------------------------------------------------------------------------------------
@@ -450,11 +450,14 @@ VERSION, TAGGED_AT = "v2", "2026-06-01 00:00:00"
 
 
 def videos(spark, sf):
-    # the texts are made after the collapse, which moves what they are made of
-    newest_rows = with_tags(latest_by(raw_posts(spark, sf, tags=True), ["post_base_id"], newest(*CRAWL_ORDER))).select(
-        "post_base_id", "channel_base_id", "updated_at", "view_count", "hashtags", "description", "list_product_base_id"
-    )
-    return settle(newest_rows, "videos")
+    fields = ["post_base_id", "channel_base_id", "updated_at", "view_count", "list_product_base_id"]
+    made_of = ["last_time_crawled_at", "reaction_count", "l_linenumber", "o_orderpriority", "p_name"]
+    with interim(spark) as keep:
+        # the shuffles of the joins are gone before those of the collapse begin
+        raw = keep(raw_posts(spark, sf, tags=True).select(*fields, *made_of), "raw-videos")
+        # the texts are made after the collapse, which moves what they are made of
+        newest_rows = with_tags(latest_by(raw, ["post_base_id"], newest(*CRAWL_ORDER))).select(*fields, "hashtags", "description")
+        return settle(newest_rows, "videos")
 
 
 def dictionaries(spark, sf):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.operators.dedup import append_new
+from bazaarlens.session import frees_shuffles
 from bazaarlens.sources.tables import exists
 
 
@@ -41,7 +42,8 @@ def attach_tags(facts: DataFrame, tags: DataFrame, key: str = "post_base_id") ->
 
 def write_serving(df: DataFrame, path: str, by: str = "category_l1") -> None:
     """Partitioned by category. Rebalanced by size: a hot category gets as many writers as it has data for."""
-    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    with frees_shuffles(df.sparkSession):
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def metrics_report(metrics: DataFrame, settings: dict[str, str]) -> DataFrame:
