@@ -169,8 +169,8 @@ def tag_category_cascade(
         no_tag = no_link.select(key, *texts).join(tier_1.select(key).hint("merge"), key, "left_anti")
         tier_2 = votes(with_text_terms(no_tag, "_terms", longest=longest, stop=stop), "keyword", keyword_dict)
         tags = keep(tier_0.unionByName(tier_1).unionByName(tier_2), "tiers")
-        told = posts.select(*pair).join(tags.hint("merge"), key, "left")
-        marks = settle(told.groupBy(*pair, *tag).agg(F.count("*").alias("_n")), "marks")
+        told = posts.groupBy(*pair).agg(F.count("*").alias("_n")).join(tags.hint("merge"), key, "left")
+        marks = settle(told.select(*pair, *tag, "_n"), "marks")
     prior = creator_prior(marks.withColumnRenamed("l1", "category_l1"), min_videos, min_share, F.sum("_n"))
     use_prior = F.col("l1").isNull() & F.col("prior_l1").isNotNull()
     # only what has no category yet is dealt by channel
@@ -202,20 +202,23 @@ def tag_concerns(
     category: str = "category_l1",
     out: str = "concerns",
 ) -> DataFrame:
-    """Concerns of the row's category whose terms occur as whole words of the folded text."""
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
+    """Concerns of the row's category whose terms occur as whole words of the folded text.
+
+    The text gets a column of its own, as the terms name it several times, and is made for categories in scope only.
+    """
+    padded = F.when(F.col(category).isin(list(scope)), F.concat(F.lit(" "), text, F.lit(" ")))
 
     def hit(name: str) -> Column:
         cond = F.lit(False)
         for term in concerns[name]:
-            cond = cond | padded.contains(f" {term} ")
+            cond = cond | F.col("_padded").contains(f" {term} ")
         return F.when(cond, F.lit(name))
 
     steps = [
         (F.col(category) == group, F.filter(F.array(*[hit(n) for n in names]), lambda x: x.isNotNull()))
         for group, names in scope.items()
     ]
-    return df.withColumn(out, cascade(steps, F.array().cast("array<string>")))
+    return df.withColumn("_padded", padded).withColumn(out, cascade(steps, F.array().cast("array<string>"))).drop("_padded")
 
 
 def tag_quality(guess: DataFrame, truth: DataFrame, key: str = "post_base_id", min_coverage: float = 0.8, min_accuracy: float = 0.85) -> DataFrame:

@@ -117,6 +117,14 @@ def test_a_category_may_be_null(spark):
     assert got == {1: ("Beauty", "Odd", "product_link", 1.0), 2: care, 3: care, 4: ("Unknown", "Odd", "product_link", 1.0)}
 
 
+def test_concern_texts_are_folded_once(spark):
+    posts = spark.createDataFrame([("ASIA", "Red rod, bolt"), ("EUROPE", "red rod"), ("AFRICA", "bolt"), (None, "bolt"), ("ASIA", None)], "category_l1 string, description string")
+    done = tagging._with_concerns(posts)
+    assert [r.concerns for r in done.collect()] == [["hardware"], ["hardware"], [], [], []] and done.columns == ["category_l1", "description", "concerns"]
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
 def test_serving_is_joined_before_it_is_dealt_to_writers(spark, tables, monkeypatch):
     """The join's wide shuffle is gone before that of the writers begins, and only what the result reads is left."""
     found, write, work = [], sinks.write_serving, session.work_folder(spark)
